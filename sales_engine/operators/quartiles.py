@@ -91,11 +91,13 @@ def drop_outliers_iqr(
 ) -> DataFrame:
     """Keep rows whose value lies within the IQR bounds; NULL values go too.
 
-    The bounds stay a one-row broadcast. ``coalesce`` keeps the optimizer from
-    pushing a NULL check on the value below a preceding shuffle in this branch
-    only: without it the quartile passes and the cut would each shuffle anew
-    instead of reading the same shuffle files.
+    The value is computed once per row, ahead of the comparison. The bounds stay
+    a one-row broadcast. ``coalesce`` keeps the optimizer from pushing a NULL
+    check on the value below a preceding shuffle in this branch only: without it
+    the quartile passes and the cut would each shuffle anew instead of reading
+    the same shuffle files.
     """
-    bounds = iqr_bounds(df, value, k, method)
-    within = F.coalesce(value.between(F.col("low"), F.col("high")), F.lit(False))
-    return df.crossJoin(F.broadcast(bounds)).where(within).drop("low", "high")
+    valued = df.withColumn("_value", value)
+    bounds = iqr_bounds(valued, F.col("_value"), k, method)
+    within = F.coalesce(F.col("_value").between(F.col("low"), F.col("high")), F.lit(False))
+    return valued.crossJoin(F.broadcast(bounds)).where(within).drop("_value", "low", "high")

@@ -44,7 +44,9 @@ def clean_sales(
     if staging:
         unique.write.mode("overwrite").parquet(staging)
         unique = df.sparkSession.read.schema(unique.schema).parquet(staging)
-    typed = cast_types(cut_outliers(unique, spec, method=method), spec)
+    # equality of rows is decided on the text as it came; from here on only the numbers matter
+    numbers = {c: to_number(F.col(c)) for c in (spec.quantity, spec.revenue)}
+    typed = cast_types(cut_outliers(unique.withColumns(numbers), spec, method=method), spec)
     return with_load_ts(typed, spec.load_ts, load_ts)
 
 
