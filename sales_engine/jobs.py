@@ -17,8 +17,8 @@ from sales_engine.operators.conform import to_sales, to_stores, union_channels
 from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales, clean_stores
 from sales_engine.plans.pipeline import build_tables, read_sales, read_stores
-from sales_engine.session import build_session, object_store_conf, scratch_dir
-from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, write_delimited
+from sales_engine.session import build_session, checkpointed, object_store_conf, scratch_dir, size_for
+from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited
 from sales_engine.sources.jdbc import connection, read_jdbc, snapshot_table, write_jdbc
 from sales_engine.streaming.sales_stream import decode, read_stream, run_until, start_landing, topic_options
 
@@ -79,10 +79,12 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, stored_bytes(spark, args.src))
     raw = raw_channel(spark, args.channel, args.src)
     cleaned = clean_sales(raw, CHANNELS[args.channel][0], args.quartiles, staging=scratch_dir(spark, "staging"))
     if args.url:
-        write_jdbc(cleaned, _jdbc(args), args.table, args.mode)
+        # the few connections of the load must not narrow the cleaning itself
+        write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
     else:
         write_delimited(cleaned, args.dst)
 
@@ -101,6 +103,7 @@ def _snapshot_stores(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, sum(stored_bytes(spark, path) for path in (args.csv, args.stream, args.db) if path))
     channels = [
         (raw_channel(spark, name, path), CHANNELS[name][0])
         for name, path in (("csv", args.csv), ("stream", args.stream), ("db", args.db))
@@ -111,6 +114,7 @@ def _build(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
+    size_for(spark, sum(stored_bytes(spark, p) for p in (args.tables, args.csv, args.stream, args.db) if p))
     if args.tables:
         sales, stores = read_sales(spark, args.tables), read_stores(spark, args.tables)
     else:
@@ -157,7 +161,7 @@ def parser() -> argparse.ArgumentParser:
     clean.add_argument("channel", choices=sorted(CHANNELS))
     clean.add_argument("--dst")
     clean.add_argument("--mode", default="errorifexists")
-    clean.add_argument("--quartiles", default="approx", choices=["approx", "exact"])
+    clean.add_argument("--quartiles", default="exact", choices=["exact", "approx"])
     database(clean, required=False)
     job("clean-stores", _clean_stores, "src", "dst")
     for name, run in (("snapshot", _snapshot), ("snapshot-stores", _snapshot_stores)):
@@ -166,7 +170,7 @@ def parser() -> argparse.ArgumentParser:
         export.add_argument("--partition-column")
         export.add_argument("--partitions", type=int, default=16)
     build = job("build", _build, "stores", "dst")
-    build.add_argument("--quartiles", default="approx", choices=["approx", "exact"])
+    build.add_argument("--quartiles", default="exact", choices=["exact", "approx"])
     report = job("report", _report)
     report.add_argument("name", choices=sorted(["units_on_date", *SALES_ONLY, *WITH_STORES]))
     report.add_argument("--tables", help="folder written by the build job")

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 BANDS_PER_E_FOLD = 4096
 
 
-def quartiles(df: DataFrame, value: Column, method: str = "approx", accuracy: int = 10000) -> DataFrame:
+def quartiles(df: DataFrame, value: Column, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """One row ``(q1, q3)`` of the non-NULL values.
 
-    Both methods return a value that occurs in the data. ``approx`` is Spark's
-    ``percentile_approx``: one pass, rank error at most 1/accuracy. ``exact``
-    gives the value at rank ceil(p*n) in two passes, with no state that grows
-    with the number of rows.
+    Both methods return a value that occurs in the data, and the same one while
+    there are few rows. ``exact`` gives the value at rank ceil(p*n) in two
+    passes; no task's state grows with the number of rows or of tasks.
+    ``approx`` is Spark's ``percentile_approx``: one pass, rank error at most
+    1/accuracy, but a single task merges one sketch of every other task.
     """
     values = df.select(value.alias("x"))
     if method == "approx":
@@ -78,7 +79,7 @@ def _exact_quartiles(values: DataFrame) -> DataFrame:
     )
 
 
-def iqr_bounds(df: DataFrame, value: Column, k: float = 1.5, method: str = "approx") -> DataFrame:
+def iqr_bounds(df: DataFrame, value: Column, k: float = 1.5, method: str = "exact") -> DataFrame:
     """One row ``(low, high)``: the quartiles widened by ``k`` interquartile ranges."""
     spread = k * (F.col("q3") - F.col("q1"))
     return quartiles(df, value, method).select(
@@ -87,7 +88,7 @@ def iqr_bounds(df: DataFrame, value: Column, k: float = 1.5, method: str = "appr
 
 
 def drop_outliers_iqr(
-    df: DataFrame, value: Column, k: float = 1.5, method: str = "approx"
+    df: DataFrame, value: Column, k: float = 1.5, method: str = "exact"
 ) -> DataFrame:
     """Keep rows whose value lies within the IQR bounds; NULL values go too.
 

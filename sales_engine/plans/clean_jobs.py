@@ -18,7 +18,7 @@ def prepare_sales(df: DataFrame, spec: CleanSpec) -> DataFrame:
     return dedupe(impute(kept, profile(df, spec), spec))
 
 
-def cut_outliers(df: DataFrame, spec: CleanSpec, k: float = 1.5, method: str = "approx") -> DataFrame:
+def cut_outliers(df: DataFrame, spec: CleanSpec, k: float = 1.5, method: str = "exact") -> DataFrame:
     """IQR cut on quantity, then on revenue with the quartiles of what the first cut left."""
     for column in (spec.quantity, spec.revenue):
         df = drop_outliers_iqr(df, to_number(F.col(column)), k, method)
@@ -28,25 +28,25 @@ def cut_outliers(df: DataFrame, spec: CleanSpec, k: float = 1.5, method: str = "
 def clean_sales(
     df: DataFrame,
     spec: CleanSpec,
-    method: str = "approx",
+    method: str = "exact",
     load_ts: str | None = None,
     staging: str | None = None,
 ) -> DataFrame:
     """Dirty channel in, typed and deduplicated sales without outliers out.
 
     Two scans of the source: one for the profile, one that ends in the shuffle
-    of the de-duplication. The quartile passes and the final rows all read that
-    same shuffle. With ``staging`` the de-duplicated rows are written there as
-    Parquet instead, which cuts the lineage and lets the quartile passes read
-    one column.
+    of the de-duplication. Without ``staging`` the result is lazy, and the
+    quartile passes and the final rows all read that same shuffle. With it, the
+    de-duplicated rows are written there as Parquet first: the lineage ends
+    there, and each quartile pass reads a single column of numbers.
     """
-    unique = prepare_sales(df, spec)
+    # equality of rows is decided on the text as it came; from here on only the numbers matter
+    numbers = {c: to_number(F.col(c)) for c in (spec.quantity, spec.revenue)}
+    unique = prepare_sales(df, spec).withColumns(numbers)
     if staging:
         unique.write.mode("overwrite").parquet(staging)
         unique = df.sparkSession.read.schema(unique.schema).parquet(staging)
-    # equality of rows is decided on the text as it came; from here on only the numbers matter
-    numbers = {c: to_number(F.col(c)) for c in (spec.quantity, spec.revenue)}
-    typed = cast_types(cut_outliers(unique.withColumns(numbers), spec, method=method), spec)
+    typed = cast_types(cut_outliers(unique, spec, method=method), spec)
     return with_load_ts(typed, spec.load_ts, load_ts)
 
 

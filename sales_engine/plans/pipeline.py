@@ -13,7 +13,7 @@ def build_tables(
     dst: str,
     channels: list[tuple[DataFrame, CleanSpec]],
     stores: DataFrame,
-    method: str = "approx",
+    method: str = "exact",
     load_ts: str | None = None,
 ) -> None:
     """Clean and conform every channel and the stores; write ``dst/sales`` and ``dst/stores`` as Parquet.

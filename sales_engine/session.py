@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,18 +51,17 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``.
+    """The folder every executor sees: ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    Where it is unset, a local run gets a temporary folder; on a cluster that
+    Where neither is set, a local run gets a temporary folder; on a cluster that
     would be a machine-local path, so it is refused.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="sales-engine-")
-        spark.conf.set("spark.checkpoint.dir", named)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")
@@ -72,6 +72,20 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def size_for(spark: SparkSession, input_bytes: int) -> None:
+    """Set scan and shuffle partition counts for an input of this size.
+
+    Adaptive execution merges shuffle partitions that turn out small but never
+    splits a plain one, so the starting number has to suit the largest shuffle,
+    the de-duplication, which moves about as much as the input holds.
+    """
+    mb = 1024 * 1024
+    scan = min(max(input_bytes // 200_000, 128 * mb), 1024 * mb)
+    shuffles = min(max(ceil(input_bytes / (256 * mb)), int(spark.conf.get("spark.sql.shuffle.partitions"))), 65_536)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffles))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute once, keep the rows in reliable storage, drop the lineage."""
     shared_dir(df.sparkSession)

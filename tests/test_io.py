@@ -8,7 +8,7 @@ from checks import views
 from sales_engine.plans import reports
 from sales_engine import jobs
 from sales_engine.schemas import CSV_SALES, STREAM_SALES
-from sales_engine.session import checkpointed, object_store_conf, scratch_dir, shared_dir
+from sales_engine.session import checkpointed, object_store_conf, scratch_dir, shared_dir, size_for
 from sales_engine.sources import jdbc
 from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited, write_json
 from sales_engine.streaming.sales_stream import (
@@ -166,6 +166,40 @@ def test_scratch_is_under_the_named_folder(spark):
     assert checkpointed(spark.range(5)).count() == 5
 
 
+class Unnamed:
+    """A session whose context has no checkpoint folder yet."""
+
+    def __init__(self, master):
+        self.master, self.folder = master, None
+        self.sparkContext = self
+
+    def getConf(self):
+        return {}
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError):
+        shared_dir(Unnamed("spark://host:7077"))
+    local = Unnamed("local[2]")
+    assert shared_dir(local) == local.folder == shared_dir(local)
+
+
+def test_partition_counts_follow_the_input(spark):
+    keys = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    want = {0: (128 << 20, 4), 10 << 30: (128 << 20, 40), 100 << 40: ((100 << 40) // 200_000, 65_536)}
+    for size, counts in want.items():
+        size_for(spark, size)
+        assert tuple(int(spark.conf.get(k)) for k in keys) == counts
+    for k in keys:
+        spark.conf.unset(k)
+
+
 def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     """Raw files -> clean -> report through the commands, and the same through the build job."""
     path = {n: str(tmp_path / n) for n in "csv json stores landed clean_csv clean_stream clean_stores tables out1 out2".split()}
