@@ -7,13 +7,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BANDS_PER_E_FOLD = 4096
+SLICES = 4096
 
 
 def quartiles(df: DataFrame, value: Column, method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """One row ``(q1, q3)`` of the non-NULL values.
 
     Both methods return a value that occurs in the data, and the same one while
-    there are few rows. ``exact`` gives the value at rank ceil(p*n) in two
+    there are few rows. ``exact`` gives the value at rank ceil(p*n) in three
     passes; no task's state grows with the number of rows or of tasks.
     ``approx`` is Spark's ``percentile_approx``: one pass, rank error at most
     1/accuracy, but a single task merges one sketch of every other task.
@@ -34,48 +35,60 @@ def _band(x: Column) -> Column:
     return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * BANDS_PER_E_FOLD)).cast("int")
 
 
-def _at_rank(counts: DataFrame, order: str) -> DataFrame:
-    """Per quartile, the row that holds ``rank`` when ``n`` is added up along ``order``.
+def _slice(x: Column) -> Column:
+    """Which of the equal parts between ``lo`` and ``hi`` of its band a value lies in."""
+    share = (x - F.col("lo")) / (F.col("hi") - F.col("lo"))
+    return F.when(F.col("hi") > F.col("lo"), F.floor(share * (SLICES - 1))).otherwise(F.lit(0)).cast("int")
 
-    ``rank`` becomes the rank inside that row. ``counts`` has to be a histogram:
-    its rows per quartile are added up in one task.
-    """
-    upto = F.sum("n").over(W.partitionBy("quarter").orderBy(order))
+
+def _at_rank(counts: DataFrame) -> DataFrame:
+    """The rows that hold ``rank``, given the running count ``upto``; ``rank`` becomes the rank inside the row."""
     return (
-        counts.withColumn("upto", upto)
-        .where("upto - n < rank and rank <= upto")
+        counts.where("upto - n < rank and rank <= upto")
         .withColumn("rank", F.expr("rank - (upto - n)"))
         .drop("upto", "n")
     )
 
 
+def _running(order: str) -> Column:
+    return F.sum("n").over(W.partitionBy("quarter").orderBy(order))
+
+
 def _exact_quartiles(values: DataFrame) -> DataFrame:
-    """Count per band of values, then per value inside the two bands that hold the quartiles.
+    """Narrow down to a band of values, to a slice of that band, to one value.
 
-    Both passes count before they shuffle, so a value on a third of the rows is
+    Every pass counts before it shuffles, so a value on a third of the rows is
     one row per task. What one task adds up is a list of bands (94,000 between
-    zero and ten billion), then of the different values in one band (25,000
-    prices in cents around a million).
+    zero and ten billion, 5.8 million for all doubles), then of 4096 slices,
+    then of the different values in one slice, whose width is a sixteen-millionth
+    of the value: one price in cents up to 160,000, a hundred around 16 million.
 
-    NULLs are left to ``count(x)`` and the null-safe join: a NULL filter, written
-    or inferred, would move below a preceding shuffle and keep the passes from
+    NULLs are left to ``count(x)`` and null-safe joins: a NULL filter, written or
+    inferred, would move below a preceding shuffle and keep the passes from
     sharing it.
     """
-    bands = values.groupBy(_band(F.col("x")).alias("band")).agg(F.count("x").alias("n"))
+    x, n = F.col("x"), F.count("x").alias("n")
+    bands = values.groupBy(_band(x).alias("band")).agg(n, F.min("x").alias("lo"), F.max("x").alias("hi"))
     ranked = (
-        bands.withColumn("total", F.sum("n").over(W.partitionBy()))
+        bands.withColumn("upto", F.sum("n").over(W.orderBy("band")))
+        .withColumn("total", F.sum("n").over(W.partitionBy()))
         .select("*", F.explode(F.array(F.lit(1), F.lit(3))).alias("quarter"))
         .withColumn("rank", F.ceil(F.col("quarter") * F.col("total") / 4))
+        .drop("total")
     )
-    target = F.broadcast(_at_rank(ranked, "band").drop("total"))  # two rows
-    inside = (
-        values.join(target, _band(F.col("x")).eqNullSafe(F.col("band")))
-        .groupBy("quarter", "rank", "x")
-        .agg(F.count(F.lit(1)).alias("n"))
+    band = F.broadcast(_at_rank(ranked))  # two rows
+    in_band = _band(x).eqNullSafe(F.col("band"))
+    slices = (
+        values.join(band, in_band)
+        .groupBy("quarter", "rank", "band", "lo", "hi", _slice(x).alias("slice"))
+        .agg(n)
     )
-    return _at_rank(inside, "x").agg(
-        F.max(F.when(F.col("quarter") == 1, F.col("x"))).alias("q1"),
-        F.max(F.when(F.col("quarter") == 3, F.col("x"))).alias("q3"),
+    slice_ = F.broadcast(_at_rank(slices.withColumn("upto", _running("slice"))))  # two rows
+    in_slice = in_band & _slice(x).eqNullSafe(F.col("slice"))
+    inside = values.join(slice_, in_slice).groupBy("quarter", "rank", "x").agg(n)
+    return _at_rank(inside.withColumn("upto", _running("x"))).agg(
+        F.max(F.when(F.col("quarter") == 1, x)).alias("q1"),
+        F.max(F.when(F.col("quarter") == 3, x)).alias("q3"),
     )
 
 
