@@ -22,11 +22,7 @@ from sales_engine.sources.files import compact, land_csv, read_delimited, read_j
 from sales_engine.sources.jdbc import connection, read_jdbc, snapshot_table, write_jdbc
 from sales_engine.streaming.sales_stream import decode, read_stream, run_until, start_landing, topic_options
 
-CHANNELS = {
-    "csv": (schemas.CSV_SPEC, schemas.CSV_SALES),
-    "stream": (schemas.STREAM_SPEC, schemas.STREAM_SALES),
-    "db": (schemas.DB_SPEC, schemas.DB_SALES),
-}
+CHANNELS = {"csv": schemas.CSV_SPEC, "stream": schemas.STREAM_SPEC, "db": schemas.DB_SPEC}
 
 SALES_ONLY = {"top_product_sales": reports.top_product_sales}
 WITH_STORES = {
@@ -40,14 +36,13 @@ WITH_STORES = {
 
 
 def raw_channel(spark: SparkSession, channel: str, path: str) -> DataFrame:
-    """Dirty rows of a channel: JSON lines for the stream, delimited files otherwise."""
-    schema = CHANNELS[channel][1]
-    return read_json(spark, path, schema) if channel == "stream" else read_delimited(spark, path, schema)
+    """Dirty rows of a channel: JSON lines for the stream, otherwise delimited files whose header names the columns."""
+    return read_json(spark, path, schemas.STREAM_SALES) if channel == "stream" else read_delimited(spark, path)
 
 
 def cleaned_channel(spark: SparkSession, channel: str, path: str) -> DataFrame:
     """Cleaned delimited files of a channel, conformed."""
-    return to_sales(read_delimited(spark, path), schemas.sales_mapping(CHANNELS[channel][0]))
+    return to_sales(read_delimited(spark, path), schemas.sales_mapping(CHANNELS[channel]))
 
 
 def run_report(name: str, sales: DataFrame, stores: DataFrame | None, date: str | None = None) -> DataFrame:
@@ -81,7 +76,7 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
     size_for(spark, stored_bytes(spark, args.src))
     raw = raw_channel(spark, args.channel, args.src)
-    cleaned = clean_sales(raw, CHANNELS[args.channel][0], args.quartiles, staging=scratch_dir(spark, "staging"))
+    cleaned = clean_sales(raw, CHANNELS[args.channel], args.quartiles, staging=scratch_dir(spark, "staging"))
     if args.url:
         # the few connections of the load must not narrow the cleaning itself
         write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
@@ -90,7 +85,7 @@ def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _clean_stores(spark: SparkSession, args: argparse.Namespace) -> None:
-    write_delimited(clean_stores(read_delimited(spark, args.src, schemas.STORES_EXPORT)), args.dst)
+    write_delimited(clean_stores(read_delimited(spark, args.src)), args.dst)
 
 
 def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -105,11 +100,11 @@ def _snapshot_stores(spark: SparkSession, args: argparse.Namespace) -> None:
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
     size_for(spark, sum(stored_bytes(spark, path) for path in (args.csv, args.stream, args.db) if path))
     channels = [
-        (raw_channel(spark, name, path), CHANNELS[name][0])
+        (raw_channel(spark, name, path), CHANNELS[name])
         for name, path in (("csv", args.csv), ("stream", args.stream), ("db", args.db))
         if path
     ]
-    stores = read_delimited(spark, args.stores, schemas.STORES_EXPORT)
+    stores = read_delimited(spark, args.stores)
     build_tables(args.dst, channels, stores, args.quartiles)
 
 

@@ -27,12 +27,13 @@ def join_dimension(
     """Inner join on ``on``; the fact is not shuffled while the dimension's measured size allows it.
 
     Beyond the limit both sides are shuffled. A key may own a third of the fact,
-    so its rows are spread over ``SALTS`` tasks by the values in ``spread_by``
-    (the same task after a retry) and the dimension is repeated per salt.
+    so its rows are spread over ``SALTS`` tasks and the dimension is repeated per
+    salt. The salt depends on the values in ``spread_by`` and, since those rows
+    may all be copies, on the input partition; both are the same after a retry.
     """
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), on)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(SALTS)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return (
         fact.withColumn("_salt", salt)

@@ -140,3 +140,13 @@ def test_a_row_on_a_third_of_the_table_comes_out_once(spark):
     )
     out = clean_sales(hot.unionAll(cold), CSV_SPEC, "exact")
     assert out.count() == 60_001
+
+
+def test_columns_may_come_in_any_order_and_case(spark):
+    rows = dirty_rows(3)
+    raw = spark.createDataFrame(rows, CSV_SALES)
+    mixed = raw.select("Revenue", "QuantitySold", "ProductID", "StoreID", "Date").toDF(
+        "REVENUE", "quantitysold", "ProductID", "storeid", "date"
+    )
+    out = clean_sales(mixed, CSV_SPEC, "exact", LOAD_TS).select("Date", "StoreID", "ProductID", "QuantitySold", "Revenue", "Processed")
+    assert result(out) == expected(rows)

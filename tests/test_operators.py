@@ -151,6 +151,19 @@ def test_salted_join_equals_broadcast_join(spark):
     assert salted.columns == ["k", "v", "a"]
 
 
+def test_copies_of_one_row_are_spread_over_the_salts(spark):
+    fact = spark.range(0, 4000, 1, 40).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+    dim = spark.createDataFrame([("hot", "x")], "k string, a string")
+    joined = join_dimension(fact, dim, "k", ["v"], limit=-1)
+    assert joined.count() == 4000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
+    largest = join_dimension(fact, dim, "k", ["v"], limit=-1).groupBy(F.spark_partition_id()).count().agg(F.max("count"))
+    assert largest.first()[0] < 2000
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def test_measured_bytes(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 84, "0").alias("t"))
     assert measured_bytes(df) == 1000 * (84 + 16 + 16)
