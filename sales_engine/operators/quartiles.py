@@ -101,17 +101,24 @@ def iqr_bounds(df: DataFrame, value: Column, k: float = 1.5, method: str = "exac
 
 
 def drop_outliers_iqr(
-    df: DataFrame, value: Column, k: float = 1.5, method: str = "exact"
+    df: DataFrame, value: Column, k: float = 1.5, method: str = "exact", eager: bool = False
 ) -> DataFrame:
     """Keep rows whose value lies within the IQR bounds; NULL values go too.
 
-    The value is computed once per row, ahead of the comparison. The bounds stay
-    a one-row broadcast. ``coalesce`` keeps the optimizer from pushing a NULL
-    check on the value below a preceding shuffle in this branch only: without it
-    the quartile passes and the cut would each shuffle anew instead of reading
-    the same shuffle files.
+    Lazily, the bounds are a one-row broadcast, and the value is computed once
+    per row, ahead of the comparison. ``coalesce`` keeps the optimizer from
+    pushing a NULL check on the value below a preceding shuffle in this branch
+    only: without it the quartile passes and the cut would each shuffle anew
+    instead of reading the same shuffle files.
+
+    ``eager`` computes the two bounds now and filters by them as constants. Use
+    it where ``df`` is a stored table: the filter reaches the scan, and later
+    plans no longer contain the passes.
     """
     valued = df.withColumn("_value", value)
     bounds = iqr_bounds(valued, F.col("_value"), k, method)
+    if eager:
+        low, high = bounds.first()
+        return df.where(value.between(F.lit(low), F.lit(high)))
     within = F.coalesce(F.col("_value").between(F.col("low"), F.col("high")), F.lit(False))
     return valued.crossJoin(F.broadcast(bounds)).where(within).drop("_value", "low", "high")

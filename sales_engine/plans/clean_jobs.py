@@ -18,10 +18,13 @@ def prepare_sales(df: DataFrame, spec: CleanSpec) -> DataFrame:
     return dedupe(impute(kept, profile(df, spec), spec))
 
 
-def cut_outliers(df: DataFrame, spec: CleanSpec, k: float = 1.5, method: str = "exact") -> DataFrame:
+def cut_outliers(
+    df: DataFrame, spec: CleanSpec, k: float = 1.5, method: str = "exact", eager: bool = False
+) -> DataFrame:
     """IQR cut on quantity, then on revenue with the quartiles of what the first cut left."""
     for column in (spec.quantity, spec.revenue):
-        df = drop_outliers_iqr(df, to_number(F.col(column)), k, method)
+        number = F.col(column) if dict(df.dtypes).get(column) == "double" else to_number(F.col(column))
+        df = drop_outliers_iqr(df, number, k, method, eager)
     return df
 
 
@@ -37,8 +40,9 @@ def clean_sales(
     Two scans of the source: one for the profile, one that ends in the shuffle
     of the de-duplication. Without ``staging`` the result is lazy, and the
     quartile passes and the final rows all read that same shuffle. With it, the
-    de-duplicated rows are written there as Parquet first: the lineage ends
-    there, and each quartile pass reads a single column of numbers.
+    de-duplicated rows are written there as Parquet and the outlier bounds
+    computed from it right away: the lineage ends there, each quartile pass
+    reads one or two columns of numbers, and the bounds reach the scan.
     """
     # equality of rows is decided on the text as it came; from here on only the numbers matter
     numbers = {c: to_number(F.col(c)) for c in (spec.quantity, spec.revenue)}
@@ -46,7 +50,7 @@ def clean_sales(
     if staging:
         unique.write.mode("overwrite").parquet(staging)
         unique = df.sparkSession.read.schema(unique.schema).parquet(staging)
-    typed = cast_types(cut_outliers(unique, spec, method=method), spec)
+    typed = cast_types(cut_outliers(unique, spec, method=method, eager=bool(staging)), spec)
     return with_load_ts(typed, spec.load_ts, load_ts)
 
 

@@ -104,9 +104,11 @@ def test_staged_ansi_and_channel_names_do_not_matter(spark, ansi, tmp_path):
 
 
 @pytest.mark.parametrize("method", ["approx", "exact"])
-def test_empty_and_all_invalid_inputs_give_no_rows(spark, ansi, method):
-    for rows in ([], [(None, "1", "p", "", "x_err")] * 3, [("2024-01-01", "", None, "1", "1")]):
-        out = clean_sales(spark.createDataFrame(rows, CSV_SALES), CSV_SPEC, method)
+@pytest.mark.parametrize("staged", [False, True], ids=["lazy", "staged"])
+def test_empty_and_all_invalid_inputs_give_no_rows(spark, ansi, method, staged, tmp_path):
+    for n, rows in enumerate(([], [(None, "1", "p", "", "x_err")] * 3, [("2024-01-01", "", None, "1", "1")])):
+        staging = str(tmp_path / str(n)) if staged else None
+        out = clean_sales(spark.createDataFrame(rows, CSV_SALES), CSV_SPEC, method, staging=staging)
         assert out.count() == 0
         assert out.columns == [*CSV_SALES.names, "Processed", "Insert_Date"]
 

@@ -23,11 +23,16 @@ def test_cleaning_scans_its_source_twice(spark, sf_dir, method):
     assert "CartesianProduct" not in plan
 
 
+def test_staged_bounds_reach_the_scan(spark, sf_dir, tmp_path):
+    plan = plan_of(clean_sales(views.sales_stream(spark, sf_dir), STREAM_SPEC, staging=str(tmp_path / "s")))
+    assert "Exchange" not in plan and "Join" not in plan
+    assert re.search(r"PushedFilters: \[.*quantity_sold", plan)
+
+
 def test_date_filter_reaches_the_scan(spark, sf_dir):
     sales, _ = catalog._tables(spark, sf_dir)
     df = reports.units_on_date(sales, "1998-08-23")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    df.explain("formatted")
     scan = re.search(r"FileScan parquet \[([^\]]*)\]", plan)
     assert {c.split("#")[0] for c in scan.group(1).split(",")} == {"date", "quantity_Sold"}
     assert re.search(r"DataFilters: \[[^\]]*1998-08-23", plan)
