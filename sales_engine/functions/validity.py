@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 def is_invalid(col: Column, sentinels: Sequence[str]) -> Column:

@@ -104,9 +104,10 @@ def _by_period(
     if fits_broadcast(known, limit):
         totals = facts.join(F.broadcast(known), "store_ID").groupBy(name).agg(*sums)
     else:
+        # a hot store is down to one row per period here, so its key needs no salt
         per_store = facts.groupBy("store_ID", name).agg(*sums)
         totals = (
-            join_dimension(per_store, known, "store_ID", [name], limit=-1)
+            per_store.join(known.hint("shuffle_merge"), "store_ID")
             .groupBy(name)
             .agg(*[F.sum(c).alias(c) for c in ("total_revenue", "total_quantity_sold")])
         )
@@ -141,8 +142,9 @@ def _demographic_products(
     if fits_broadcast(groups, limit):
         joined = facts.join(F.broadcast(groups), "store_ID")
     else:
+        # down to one row per store and product; what skew is left, adaptive execution splits
         facts = facts.groupBy("store_ID", "product_ID").agg(revenue.alias("revenue"))
-        joined = join_dimension(facts, groups, "store_ID", ["product_ID"], limit=-1)
+        joined = facts.join(groups.hint("shuffle_merge"), "store_ID")
         revenue = F.sum("revenue")
     return joined.groupBy("demographics", "product_ID").agg(revenue.alias("total_revenue"))
 

@@ -10,7 +10,9 @@ from sales_engine import jobs
 from sales_engine.schemas import CSV_SALES, STREAM_SALES
 from sales_engine.session import checkpointed, object_store_conf, scratch_dir, shared_dir, size_for
 from sales_engine.sources import jdbc
-from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited, write_json
+from sales_engine.sources.files import (
+    compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited, write_json,
+)
 from sales_engine.streaming.sales_stream import (
     decode, land_batch, read_landed, read_stream, run_until, start_landing, topic_options,
 )
@@ -202,7 +204,8 @@ def test_partition_counts_follow_the_input(spark):
 
 def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     """Raw files -> clean -> report through the commands, and the same through the build job."""
-    path = {n: str(tmp_path / n) for n in "csv json stores landed clean_csv clean_stream clean_stores tables out1 out2".split()}
+    names = "csv json stores landed clean_csv clean_stream clean_stores tables out1 out2"
+    path = {n: str(tmp_path / n) for n in names.split()}
     write_delimited(views.sales_csv(spark, sf_dir), path["csv"])
     write_json(views.sales_stream(spark, sf_dir), path["json"])
     write_delimited(views.stores_export(spark, sf_dir), path["stores"])
