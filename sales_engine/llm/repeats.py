@@ -148,9 +148,12 @@ def _without(length: int):
 
 
 def _repeated(rows: DataFrame, by: list[str], alike: Column) -> DataFrame:
-    """Keys ``by`` that several rows have, with ``uniform``: whether these rows agree in ``alike``."""
+    """Keys ``by`` that several rows have, with ``uniform``: whether these rows agree in ``alike``.
+
+    A written table, so that a join to it shuffles both sides anew: only then can Spark split a frequent key.
+    """
     groups = rows.groupBy(*by).agg(F.count("*").alias("times"), F.min(alike).alias("low"), F.max(alike).alias("high"))
-    return groups.where("times > 1").select(*by, (F.col("low") == F.col("high")).alias("uniform"))
+    return _written(groups.where("times > 1").select(*by, (F.col("low") == F.col("high")).alias("uniform")), "groups")
 
 
 def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
@@ -195,7 +198,7 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
         "at", "cell", "shared", "step", low_bytes("before", F.col("step")), low_bytes("after", CELL - 1 - F.col("step"))
     )
     string = ["shared", "step", "before", "after"]
-    twice = singles.groupBy(*string).agg(F.count("*").alias("times")).where("times > 1").drop("times")
+    twice = _repeated(singles, string, F.lit(1)).drop("uniform")
     one = (F.col("at.trigger") - F.col("cell") * CELL - F.col("step")).alias("first")
     single = singles.where("at.open").join(twice, string).select("at.k1", "at.k2", one, one.alias("last"))
     return settled.unionAll(whole).unionAll(single)
