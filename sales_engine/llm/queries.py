@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sales_engine.llm.exact import with_copies
 from sales_engine.llm.repeats import remove_repeats
+from sales_engine.llm.simhash import fingerprint_hex, near_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +17,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
 def op2_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeats(docs, keep_text=False).drop("text")
+    return remove_repeats(texts(spark, sf_dir), keep_text=False).drop("text")
+
+
+def op6_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_copies(texts(spark, sf_dir), carry_text=False)
+
+
+def op7_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_components(texts(spark, sf_dir), carry_text=False)
+    return found.select("doc_id", fingerprint_hex(found.fingerprint).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Query] = {
     "op2_prefix_free_dedup": op2_prefix_free_dedup,
+    "op6_bloom_dedup": op6_bloom_dedup,
+    "op7_deletion_simhash": op7_deletion_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_bloom_dedup": """
+        WITH hashed AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id = max(doc_id) OVER same AS kept, text_sha256
+        FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+}

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted
 from sales_engine.llm.phrases import REACH, context_bytes, phrases, range_hash
-from sales_engine.session import scratch_dir
+from sales_engine.llm.tables import written
 
 CELL = 8
 #: Place of a phrase in its text: the trigger, and how far before it its first and last start lie.
@@ -153,7 +153,7 @@ def _repeated(rows: DataFrame, by: list[str], alike: Column) -> DataFrame:
     A written table, so that a join to it shuffles both sides anew: only then can Spark split a frequent key.
     """
     groups = rows.groupBy(*by).agg(F.count("*").alias("times"), F.min(alike).alias("low"), F.max(alike).alias("high"))
-    return _written(groups.where("times > 1").select(*by, (F.col("low") == F.col("high")).alias("uniform")), "groups")
+    return written(groups.where("times > 1").select(*by, (F.col("low") == F.col("high")).alias("uniform")), "groups")
 
 
 def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
@@ -168,7 +168,7 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
     classes = rows.groupBy("context", "whole").agg(
         F.count("*").alias("times"), *[F.min(c).alias(c) for c in (*here, "before", "after")]
     )
-    classes = _written(classes, "classes")
+    classes = written(classes, "classes")
     again = classes.where("times > 1").select("context", "whole")
     trigger = F.shiftright("place", 2 * _SPAN)
     first = trigger - F.shiftright("place", _SPAN).bitwiseAND(REACH - 1)
@@ -182,7 +182,7 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
         _cell_rows(length),
     )
     common = _repeated(cells, ["shared"], F.xxhash64("before", "after", "low", "high"))
-    cells = _written(cells.join(common, "shared"), "cells")
+    cells = written(cells.join(common, "shared"), "cells")
     start = F.col("at.trigger") - F.col("cell") * CELL
     whole = cells.where("uniform and at.open").select(
         "at.k1", "at.k2", (start - F.col("high")).alias("first"), (start - F.col("low")).alias("last")
@@ -204,13 +204,6 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
     return settled.unionAll(whole).unionAll(single)
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder: made once, without lineage."""
-    path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, keep_text: bool = True
 ) -> DataFrame:
@@ -254,7 +247,7 @@ def remove_repeats(
     )
     marked = keyed.select("key.k1", "key.k2", "row", "text").join(places, ["k1", "k2"], "left")
     clean = F.col("sure").isNull()
-    staged = _written(
+    staged = written(
         marked.select(
             F.when(~clean, F.col("k1")).alias("k1"),
             F.when(~clean, F.col("k2")).alias("k2"),
