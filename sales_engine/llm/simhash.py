@@ -124,7 +124,8 @@ def near_links(words: DataFrame, bits: int = 2, bucket: int = BUCKET) -> DataFra
     variants = _variants(words, bits)
     keys = ["left_out", "rest"]
     buckets = written(variants.groupBy(*keys).agg(F.count("*").alias("size")).where("size > 1"), "buckets")
-    members = written(variants.join(buckets, keys), "members")
+    # A merge join at any size: Spark can split its frequent keys, and nothing that grows is broadcast.
+    members = written(variants.join(buckets.hint("merge"), keys), "members")
     few = members.where(F.col("size") <= bucket).groupBy(*keys).agg(F.collect_list("word").alias("bucket"))
     links = flat(few, [F.col("bucket")], "a bigint, b bigint", _forest(bits))
     # Words up to two flips apart have a word in common that is at most one flip away from both.
