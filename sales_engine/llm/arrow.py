@@ -66,18 +66,35 @@ def append(df: DataFrame, inputs: Sequence[Column], ddl: str, make: Callable[[],
     return source.mapInArrow(run, StructType([*kept, *new.fields]))
 
 
-def flat(df: DataFrame, inputs: Sequence[Column], ddl: str, make: Callable[[], Callable[[Arrays], Iterator[Arrays]]]) -> DataFrame:
-    """Rows made from batches: what ``make`` returns yields lists of columns, any number of rows each."""
+def streamed(
+    df: DataFrame, inputs: Sequence[Column], ddl: str, work: Callable[[Iterator[Arrays]], Iterator[Arrays]]
+) -> DataFrame:
+    """Rows that ``work`` makes of a task's batches of the input columns: lists of columns, any number of rows each."""
     schema = StructType.fromDDL(ddl)
     types, names = [arrow_type(f) for f in schema], [f.name for f in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
-        for batch in batches:
-            for made in work(batch.columns):
-                yield pa.RecordBatch.from_arrays(
-                    [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(made, types, strict=True)],
-                    names=names,
-                )
+        for made in work(batch.columns for batch in batches):
+            yield pa.RecordBatch.from_arrays(
+                [a if isinstance(a, pa.Array) else pa.array(a, t) for a, t in zip(made, types, strict=True)], names=names
+            )
 
     return df.select(*[c.alias(f"in{i}") for i, c in enumerate(inputs)]).mapInArrow(run, schema)
+
+
+def flat(
+    df: DataFrame, inputs: Sequence[Column], ddl: str, make: Callable[[], Callable[[Arrays], Iterator[Arrays]]]
+) -> DataFrame:
+    """Rows made from each batch on its own; ``make`` is called once a task."""
+
+    def work(batches: Iterator[Arrays]) -> Iterator[Arrays]:
+        made = make()
+        for columns in batches:
+            yield from made(columns)
+
+    return streamed(df, inputs, ddl, work)
+
+
+def type_of(df: DataFrame, column: Column) -> str:
+    """The column's type as DDL."""
+    return df.select(column).schema[0].dataType.simpleString()
