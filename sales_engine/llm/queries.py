@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sales_engine.llm.exact import with_copies
+from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
 from sales_engine.llm.simhash import fingerprint_hex, near_components
+from sales_engine.llm.url_rules import judge_urls
+from sales_engine.llm.vocabularies import byte_bpe
+from sales_engine.llm.warc import read_warc, write_warc
+from sales_engine.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +31,18 @@ def op2_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(texts(spark, sf_dir), keep_text=False).drop("text")
 
 
+def op4_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(texts(spark, sf_dir), byte_bpe())
+
+
+def op5_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = scratch_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), archive)
+    return read_warc(spark, archive, payload=False).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op6_bloom_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_copies(texts(spark, sf_dir), carry_text=False)
 
@@ -34,13 +52,51 @@ def op7_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint_hex(found.fingerprint).alias("fingerprint"), "component_id")
 
 
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op10_interval_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     "op2_prefix_free_dedup": op2_prefix_free_dedup,
+    "op4_tier_packing": op4_tier_packing,
+    "op5_sharded_warc": op5_sharded_warc,
     "op6_bloom_dedup": op6_bloom_dedup,
     "op7_deletion_simhash": op7_deletion_simhash,
+    "op10_interval_url_rules": op10_interval_url_rules,
 }
 
 SQL: dict[str, str] = {
+    "op5_sharded_warc": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+        groups AS (SELECT hex, max(page_id) AS last_id FROM hashed GROUP BY hex),
+        bits AS (
+            SELECT hex, last_id, string_agg(CASE substr(hex, i, 1)
+                WHEN '0' THEN '0000' WHEN '1' THEN '0001' WHEN '2' THEN '0010' WHEN '3' THEN '0011'
+                WHEN '4' THEN '0100' WHEN '5' THEN '0101' WHEN '6' THEN '0110' WHEN '7' THEN '0111'
+                WHEN '8' THEN '1000' WHEN '9' THEN '1001' WHEN 'a' THEN '1010' WHEN 'b' THEN '1011'
+                WHEN 'c' THEN '1100' WHEN 'd' THEN '1101' WHEN 'e' THEN '1110' ELSE '1111' END, '' ORDER BY i) AS b
+            FROM groups, (SELECT unnest(range(1, 41)) AS i) AS places GROUP BY hex, last_id),
+        digests AS (
+            SELECT hex, last_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + 16 * CAST(substr(b, 5 * k + 1, 1) AS INT) + 8 * CAST(substr(b, 5 * k + 2, 1) AS INT)
+                  + 4 * CAST(substr(b, 5 * k + 3, 1) AS INT) + 2 * CAST(substr(b, 5 * k + 4, 1) AS INT)
+                  + CAST(substr(b, 5 * k + 5, 1) AS INT), 1), '' ORDER BY k) AS payload_digest
+            FROM bits, (SELECT unnest(range(0, 32)) AS k) AS digits GROUP BY hex, last_id)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = last_id THEN NULL ELSE last_id END AS refers_to
+        FROM hashed JOIN digests USING (hex)""",
     "op6_bloom_dedup": """
         WITH hashed AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''),
@@ -49,4 +105,21 @@ SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM hashed WINDOW same AS (PARTITION BY text_sha256)""",
+    "op10_interval_url_rules": r"""
+        WITH rests AS (
+            SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+                THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+        rules(action, rule_host, rule_path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+            ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+        fits AS (
+            SELECT page_id, host, path, rule_host || rule_path AS rule, action,
+                row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(rule_host || rule_path) DESC) AS place
+            FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+        SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
+        FROM parts p LEFT JOIN fits f ON f.place = 1 AND f.page_id IS NOT DISTINCT FROM p.page_id
+            AND f.host = p.host AND f.path = p.path""",
 }
