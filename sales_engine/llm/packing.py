@@ -70,7 +70,11 @@ class Encoder:
 
             self.whole = self.whole or Tokenizer.from_file(self.file)
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.concatenate([np.array(self.fast.encode_ordinary(p), "<u4") for p in self.pieces(text)])
+        return self.ids(text)
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids with the special token's string taken as ordinary text."""
+        return np.concatenate([self.fast.encode_to_numpy(p, disallowed_special=()) for p in self.pieces(text)]).astype("<u4")
 
 
 class Packer:

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sales_engine.llm.exact import with_copies
+from sales_engine.llm.fertility import judge_fertility
 from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
 from sales_engine.llm.simhash import fingerprint_hex, near_components
 from sales_engine.llm.url_rules import judge_urls
-from sales_engine.llm.vocabularies import byte_bpe
+from sales_engine.llm.vocabularies import byte_bpe, pieces_model
 from sales_engine.llm.warc import read_warc, write_warc
 from sales_engine.session import scratch_dir
 
@@ -27,6 +28,11 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge_fertility(docs, byte_bpe(), pieces_model(), language="lang").drop("lang")
+
+
 def op2_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(texts(spark, sf_dir), keep_text=False).drop("text")
 
@@ -67,6 +73,7 @@ def op10_interval_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fertility": op1_fertility,
     "op2_prefix_free_dedup": op2_prefix_free_dedup,
     "op4_tier_packing": op4_tier_packing,
     "op5_sharded_warc": op5_sharded_warc,

@@ -20,3 +20,8 @@ def byte_bpe(where: str | None = None):
 
     where = where or folder()
     return partial(Encoder, f"{where}/byte_bpe_50k.json", f"{where}/byte_bpe_50k.tiktoken", PATTERN)
+
+
+def pieces_model(where: str | None = None) -> str:
+    """File of the 32k SentencePiece vocabulary with byte fallback."""
+    return f"{where or folder()}/piece_bpe_32k.model"
