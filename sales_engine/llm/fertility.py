@@ -35,10 +35,10 @@ SCRIPTS = [
 #: Figure: steps of its histogram to one unit; whether it may be too low, too high; width of the band as a share
 #: of the median and as an amount, at least; times the median deviation, at least.
 BANDS = {
-    "chars_per_token": (256, True, True, 0.12, 0.0, 8),
-    "chars_per_piece": (256, True, True, 0.12, 0.0, 8),
-    "broken_share": (4096, False, True, 0.0, 0.06, 8),
-    "byte_share": (4096, False, True, 0.0, 0.04, 8),
+    "chars_per_token": (256, True, True, 0.16, 0.0, 8),
+    "chars_per_piece": (256, True, True, 0.16, 0.0, 8),
+    "broken_share": (4096, False, True, 0.0, 0.1, 8),
+    "byte_share": (4096, False, True, 0.0, 0.05, 8),
     "token_entropy": (256, True, False, 0.18, 0.0, 8),
 }
 #: Texts that a language and script must have for a band of its own; smaller groups are not judged by bands.

@@ -11,6 +11,7 @@ from sales_engine.llm.exact import with_copies
 from sales_engine.llm.fertility import judge_fertility
 from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
+from sales_engine.llm.sampling import round_trip
 from sales_engine.llm.simhash import fingerprint_hex, near_components
 from sales_engine.llm.url_rules import judge_urls
 from sales_engine.llm.vocabularies import byte_bpe, pieces_model
@@ -58,6 +59,10 @@ def op7_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint_hex(found.fingerprint).alias("fingerprint"), "component_id")
 
 
+def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(texts(spark, sf_dir), pieces_model())
+
+
 URL_RULES = [
     ("allow", "org", "/"),
     ("block", "example.org", "/es/"),
@@ -79,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_sharded_warc": op5_sharded_warc,
     "op6_bloom_dedup": op6_bloom_dedup,
     "op7_deletion_simhash": op7_deletion_simhash,
+    "op9_sampled_pieces": op9_sampled_pieces,
     "op10_interval_url_rules": op10_interval_url_rules,
 }
 
