@@ -1,27 +1,61 @@
-"""The corpus pipeline: operators of ``sales_engine.llm`` one after the other, each on what the last one kept."""
+"""The corpus pipeline: operators of ``sales_engine.llm`` one after the other, each on what the last one kept.
+
+A stage takes and returns the columns of ``documents``; the last returns the pieces of the packed documents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sales_engine.llm import toxicity
+from sales_engine.llm.exact import with_copies
+from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
+from sales_engine.llm.simhash import near_components
+from sales_engine.llm.vocabularies import byte_bpe
 from sales_engine.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes in strings of 400 bytes that occur twice; ``n_chars`` follows the text."""
-    from pyspark.sql import functions as F
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't predicted to be toxic; the lexicon is learned from the labelled ones among them."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts the one with the largest doc_id."""
+    return with_copies(docs).where("kept").select(docs.columns)
+
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked the one with the smallest doc_id."""
+    return near_components(docs, shingle=3, bits=2).where("component_keeper").select(docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes in strings of 400 bytes that occur twice; ``n_chars`` follows the text."""
     cut = remove_repeats(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint")
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("suffix-array dedup", suffix_array_dedup)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of up to 2048 tokens."""
+    return pack(docs, byte_bpe())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("SimHash near-dedup", drop_near_copies),
+    ("suffix-array dedup", cut_repeats),
+    ("packing", pack_sequences),
+]
 
 #: No SQL expresses these stages; ``tests/llm`` holds the pipeline against brute force.
 ORACLE_SQL = None

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sales_engine.llm import quality, toxicity
 from sales_engine.llm.exact import with_copies
 from sales_engine.llm.fertility import judge_fertility
 from sales_engine.llm.packing import pack
@@ -38,6 +39,12 @@ def op2_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(texts(spark, sf_dir), keep_text=False).drop("text")
 
 
+def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir)
+    weights = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights).drop("text")
+
+
 def op4_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(texts(spark, sf_dir), byte_bpe())
 
@@ -59,6 +66,12 @@ def op7_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint_hex(found.fingerprint).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts(spark, sf_dir)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(texts(spark, sf_dir), pieces_model())
 
@@ -80,10 +93,12 @@ def op10_interval_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_prefix_free_dedup": op2_prefix_free_dedup,
+    "op3_ftrl_quality": op3_ftrl_quality,
     "op4_tier_packing": op4_tier_packing,
     "op5_sharded_warc": op5_sharded_warc,
     "op6_bloom_dedup": op6_bloom_dedup,
     "op7_deletion_simhash": op7_deletion_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_interval_url_rules": op10_interval_url_rules,
 }

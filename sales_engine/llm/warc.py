@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, streamed
 from sales_engine.llm.tables import written
 
-SHARD_BYTES = 256 * 1024 * 1024
-ROLL_BYTES = 64 * 1024 * 1024
+SHARD_BYTES = 64 * 1024 * 1024
+ROLL_BYTES = 16 * 1024 * 1024
 DATE = "2000-01-01T00:00:00Z"
 BLOCKS = 10_000
 OVERHEAD = 600
