@@ -9,21 +9,25 @@ from exact histograms over all texts that pass the basic rules.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sales_engine.llm.arrow import Arrays, append, byte_texts, per_worker, quoted
+from sales_engine.llm.remembered import Remembered
 from sales_engine.llm.tables import written
 
 SYMBOLS = b"#*$%&|<>"
 SPACE = b" \t\n\v\f\r"
 LEAST_WORDS = 50
 MOST_REPEATED = 0.5
-#: Distinct words whose codes and piece counts a worker remembers; then it starts anew.
+#: Distinct words whose piece counts a worker remembers.
 KNOWN_WORDS = 400_000
+#: Bytes of text whose words are looked up together.
+BLOCK = 1 << 20
 #: First code points of scripts; what lies before them, or between two, belongs to the one before.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -49,37 +53,22 @@ FIGURES = "script string, " + ", ".join(f"{name} double" for name in BANDS)
 
 
 class Words:
-    """Codes of words, with the number of pieces and of byte pieces of each."""
+    """Known words, each with the numbers of its pieces and of its byte pieces."""
 
     def __init__(self, model: str):
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=model)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.counts = np.zeros((1024, 2), np.int64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.codes) > KNOWN_WORDS:
-            self.forget()
-        try:
-            return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.codes]
-        first = len(self.codes)
-        self.codes.update(zip(new, range(first, first + len(new)), strict=True))
-        while len(self.counts) < len(self.codes):
-            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.known = Remembered(KNOWN_WORDS, self._learn)
+
+    def _learn(self, new: list[bytes]) -> np.ndarray:
         lists = self.pieces.encode([w.decode("utf-8", "replace") for w in new])
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.concatenate([[0], np.cumsum(self.is_byte[np.fromiter((i for ids in lists for i in ids), np.int64, sizes.sum())])])
+        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
+        single = np.concatenate([[0], np.cumsum(self.is_byte[ids])])
         ends = np.cumsum(sizes)
-        self.counts[first : len(self.codes), 0] = sizes
-        self.counts[first : len(self.codes), 1] = flat[ends] - flat[ends - sizes]
-        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        return np.stack([sizes, single[ends] - single[ends - sizes]], axis=1)
 
 
 def repeated_words(codes: np.ndarray) -> int:
@@ -131,24 +120,36 @@ def _figures(encoder: Callable[[], object], model: str):
         if not hasattr(bpe, "broken"):
             bpe.broken = np.array([_broken(bpe.fast.decode_single_token_bytes(i)) for i in range(bpe.fast.n_vocab)])
 
-        def work(columns: Arrays) -> Arrays:
-            rows = []
-            for raw in byte_texts(columns[0]):
+        def figures(raws: list[bytes]) -> Iterator[tuple]:
+            lists = [raw.split() for raw in raws]
+            codes = words_of.known.codes_of([w for words in lists for w in words])
+            counts = words_of.known.all_rows[codes] if len(codes) else np.zeros((0, 2), np.int64)
+            end = 0
+            for raw, words in zip(raws, lists, strict=True):
                 text = raw.decode("utf-8", "replace")
-                words = raw.split()
                 lines = [line for line in raw.split(b"\n") if line.strip()]
-                codes = words_of.of(words)
+                begin, end = end, end + len(words)
                 word_chars = len(text) - (len(raw) - len(raw.translate(None, SPACE)))
                 letters = len(raw.translate(None, _NOT_LETTERS))
-                figures = [None] * len(BANDS)
+                found = [None] * len(BANDS)
                 if words:
                     ids = bpe.ids(text)
-                    pieces, single = words_of.counts[codes].sum(axis=0).tolist()
-                    figures = [len(text) / len(ids), word_chars / pieces, float(bpe.broken[ids].mean()), single / pieces, entropy(ids)]
-                rows.append(
-                    (len(words), word_chars, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
-                     repeated_words(codes), script_of(text, letters), *figures)
+                    pieces, single = counts[begin:end].sum(axis=0).tolist()
+                    found = [len(text) / len(ids), word_chars / pieces, float(bpe.broken[ids].mean()), single / pieces, entropy(ids)]
+                yield (
+                    len(words), word_chars, len(raw) - len(raw.translate(None, SYMBOLS)), len(lines) - len(set(lines)),
+                    repeated_words(codes[begin:end]), script_of(text, letters), *found,
                 )
+
+        def work(columns: Arrays) -> Arrays:
+            rows, waiting, size = [], [], 0
+            for raw in byte_texts(columns[0]):
+                waiting.append(raw)
+                size += len(raw)
+                if size >= BLOCK:
+                    rows += figures(waiting)
+                    waiting, size = [], 0
+            rows += figures(waiting)
             return list(map(list, zip(*rows, strict=True)))
 
         return work

@@ -12,11 +12,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sales_engine.llm.arrow import Arrays, append, byte_texts, per_worker, quoted, streamed
 from sales_engine.llm.labelled import is_held_out, training_texts
+from sales_engine.llm.remembered import Remembered
 
 SLOTS = 1 << 18
 TRAIN_ROWS = 10_000
@@ -36,40 +38,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Grams:
-    """Hashes of words and shapes; those of words are remembered, up to a bound."""
+    """Hashes of words and shapes, remembered up to a bound."""
 
     def __init__(self):
-        self.forget()
-
-    def forget(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.hashes = np.zeros((1024, 2), np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Word and shape hash of each word."""
-        import xxhash
-
-        if len(self.codes) > KNOWN_WORDS:
-            self.forget()
-        try:
-            return self.hashes[np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))]
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.codes]
-        first = len(self.codes)
-        self.codes.update(zip(new, range(first, first + len(new)), strict=True))
-        while len(self.hashes) < len(self.codes):
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-        hash_of = xxhash.xxh3_64_intdigest
-        self.hashes[first : len(self.codes), 0] = [hash_of(w, 1) for w in new]
-        self.hashes[first : len(self.codes), 1] = [hash_of(_RUNS.sub(rb"\1+", w.translate(_KINDS)), 2) for w in new]
-        return self.hashes[np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))]
+        self.known = Remembered(KNOWN_WORDS, self._learn)
+
+    @staticmethod
+    def _learn(new: list[bytes]) -> np.ndarray:
+        words = [xxhash.xxh3_64_intdigest(w, 1) for w in new]
+        shapes = [xxhash.xxh3_64_intdigest(_RUNS.sub(rb"\1+", w.translate(_KINDS)), 2) for w in new]
+        return np.array([words, shapes], np.uint64).T
 
     def families(self, text: bytes) -> list[np.ndarray]:
         """Slots of all n-grams of a text, a list for each family; slot 0 is the bias."""
         words = text.split()
         if not words:
             return []
-        word, shape = self.of(words).T
+        word, shape = self.known.rows_of(words).T
         out = []
         for salt, hashes, longest in ((1, word, 2), (2, shape, 3)):
             gram = hashes

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sales_engine.llm.arrow import Arrays, append, per_worker, quoted
+from sales_engine.llm.remembered import Remembered
 
 MARK = "▁"
 #: Weight of a byte piece beside those of pieces.
@@ -25,10 +26,10 @@ BYTE_WEIGHT = -20.0
 BITS = 30
 #: First bits of a piece's hash by which it is looked up.
 SLOT_BITS = 20
-#: Distinct units whose lattices a worker remembers; then it starts anew.
-KNOWN_UNITS = 400_000
+#: Distinct units whose lattices a worker remembers.
+KNOWN_UNITS = 300_000
 #: Characters of text that are segmented together.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 _NORMAL, _BYTE = 1, 6
 
@@ -78,17 +79,23 @@ class Lattices:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         names = list(pieces.ids)
-        hashes = np.concatenate([self._ranges(n)(np.array([0]), np.array([len(n)])) for n in names])
+        sizes = np.fromiter(map(len, names), np.int64, len(names))
+        ends = np.cumsum(sizes)
+        hashes = self._ranges("".join(names))(ends - sizes, ends)
         order = np.argsort(hashes)
         self.hashes, ids = hashes[order], np.array([pieces.ids[n] for n in names])[order]
         self.tokens, self.token_weights = ids, np.array([pieces.weights[i] for i in ids])
         # Where the hashes with the same first bits begin.
         self.begin = np.searchsorted(self.hashes >> np.uint64(64 - SLOT_BITS), np.arange(2**SLOT_BITS + 1, dtype=np.uint64))
         self.most = int(np.diff(self.begin).max())
+        self.known = Remembered(KNOWN_UNITS, self.learn, self.rebuild)
+        self.forget()
+
+    def rebuild(self, units: list[str]) -> np.ndarray:
         self.forget()
+        return self.learn(units)
 
     def forget(self) -> None:
-        self.ends: dict[str, int] = {}
         self.nodes = 0
         self.edges = 0
         self.upper, self.source, self.token = (np.zeros(1 << 16, np.int32) for _ in range(3))
@@ -116,8 +123,10 @@ class Lattices:
             place, hit = np.where(same, other, place), hit | same
         return place, hit
 
-    def learn(self, units: list[str]) -> None:
-        """Forward filtering of new units, all at once."""
+    def learn(self, units: list[str]) -> np.ndarray:
+        """Forward filtering of new units, all at once; the nodes of their ends."""
+        if not units:
+            return np.zeros(0, np.int64)
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         ends = np.cumsum(sizes)
         text = "".join(units)
@@ -186,9 +195,10 @@ class Lattices:
         self.edge[self.nodes + 1 : self.nodes + 1 + len(alpha)] = self.edges + np.cumsum(degree)
         self.first[self.nodes : self.nodes + len(alpha)] = False
         self.first[self.nodes + ends - sizes + np.arange(len(units))] = True
-        self.ends.update(zip(units, (self.nodes + ends + np.arange(len(units))).tolist(), strict=True))
+        last = self.nodes + ends + np.arange(len(units))
         self.edges += len(target)
         self.nodes += len(alpha)
+        return last
 
     def _grow(self, edges: int, nodes: int) -> None:
         while len(self.upper) < self.edges + edges:
@@ -198,11 +208,7 @@ class Lattices:
 
     def sample(self, units: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward sampling: the tokens of all units in order, and how many each has. ``seeds``: one a unit."""
-        if len(self.ends) > KNOWN_UNITS:
-            self.forget()
-        if new := [u for u in dict.fromkeys(units) if u not in self.ends]:
-            self.learn(new)
-        node = np.fromiter(map(self.ends.__getitem__, units), np.int64, len(units))
+        node = self.known.rows_of(units)
         open_units, steps = np.arange(len(units)), []
         taken = np.zeros(len(units), np.int64)
         while len(open_units):
@@ -257,7 +263,7 @@ def _encoding(model: str, seed: int, sharpness: float):
                 ends = np.cumsum(counts)
                 reached = np.concatenate([[0], np.cumsum(taken)])
                 for a, b in zip(reached[ends - counts].tolist(), reached[ends].tolist(), strict=True):
-                    own = lattices.expanded(tokens[a:b])
+                    own = lattices.expanded(tokens[a:b]).astype(np.int32)
                     parts.append(own)
                     sizes.append(len(own))
 
@@ -270,7 +276,7 @@ def _encoding(model: str, seed: int, sharpness: float):
                     segment(waiting)
                     waiting, size = [], 0
             segment(waiting)
-            flat = np.concatenate([*parts, np.zeros(0, np.int64)]).astype(np.int32)
+            flat = np.concatenate([*parts, np.zeros(0, np.int32)])
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
 
@@ -297,7 +303,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded")
     that are no UTF-8) give replacement characters, unknown and control ids nothing."""
 
     def make():
-        table = per_worker(f"{model} 1.0", lambda: Lattices(Pieces(model, 1.0))).pieces.bytes_of
+        table = per_worker(f"{model} bytes", lambda: Pieces(model, 1.0).bytes_of)
 
         def work(columns: Arrays) -> Arrays:
             out = []
