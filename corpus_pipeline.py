@@ -6,6 +6,7 @@ A stage takes and returns the columns of ``documents``; the last returns the pie
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,28 +16,50 @@ from sales_engine.llm.exact import with_copies
 from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
 from sales_engine.llm.simhash import near_components
+from sales_engine.llm.tables import delete, noting
 from sales_engine.llm.vocabularies import byte_bpe
 from sales_engine.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+_used: dict[tuple[str, str], list[str]] = {}
 
+
+def stage(function: Stage) -> Stage:
+    """The stage, which first deletes the tables that the stage before it made for itself: its result is written."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        here = (spark.sparkContext.applicationId, sf_dir)
+        delete(spark, _used.pop(here, []))
+        with noting() as paths:
+            kept = function(spark, docs, sf_dir)
+        _used[here] = paths
+        return kept
+
+    return run_stage
+
+
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't predicted to be toxic; the lexicon is learned from the labelled ones among them."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
+@stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the largest doc_id."""
     return with_copies(docs).where("kept").select(docs.columns)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose fingerprints are linked the one with the smallest doc_id."""
     return near_components(docs, shingle=3, bits=2).where("component_keeper").select(docs.columns)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes in strings of 400 bytes that occur twice; ``n_chars`` follows the text."""
     cut = remove_repeats(docs)
@@ -44,6 +67,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cut.withColumn("n_chars", n_chars).select(docs.columns)
 
 
+@stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of up to 2048 tokens."""
     return pack(docs, byte_bpe())
