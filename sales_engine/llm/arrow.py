@@ -37,20 +37,29 @@ def arrow_type(field: StructField) -> pa.DataType:
     return to_arrow_type(field.dataType)
 
 
-def append(df: DataFrame, inputs: Sequence[Column], ddl: str, make: Callable[[], Callable[[Arrays], Arrays]]) -> DataFrame:
+def text_of(df: DataFrame, name: str) -> Column | str:
+    """The column as text: its name if it is one."""
+    return name if dict(df.dtypes)[name] == "string" else quoted(name).cast("string")
+
+
+def append(df: DataFrame, inputs: Sequence[Column | str], ddl: str, make: Callable[[], Callable[[Arrays], Arrays]]) -> DataFrame:
     """All rows and columns of ``df`` with the columns of ``ddl`` after them.
 
     ``make`` is called once a task; what it returns gets the input columns of a batch and gives the new
-    ones. A column of ``df`` that bears the name of a new one (in any case) is replaced by it.
+    ones. An input given by name travels once, as the column that is passed through. A column of ``df`` that bears
+    the name of a new one (in any case) is replaced by it.
     """
     new = StructType.fromDDL(ddl)
     names = {f.name.lower() for f in new}
     kept = [f for f in df.schema if f.name.lower() not in names]
+    at = {f.name: i for i, f in enumerate(kept)}
+    more = [quoted(c) if isinstance(c, str) else c for c in inputs if not (isinstance(c, str) and c in at)]
     source = df.select(
-        *[c.alias(f"in{i}") for i, c in enumerate(inputs)],
-        *[quoted(f.name).alias(f"kept{i}") for i, f in enumerate(kept)],
+        *[quoted(f.name).alias(f"kept{i}") for i, f in enumerate(kept)], *[c.alias(f"in{i}") for i, c in enumerate(more)]
     )
-    many, types, out_names = len(inputs), [arrow_type(f) for f in new], [f.name for f in kept] + [f.name for f in new]
+    extra = iter(range(len(kept), len(kept) + len(more)))
+    places = [at[c] if isinstance(c, str) and c in at else next(extra) for c in inputs]
+    many, types, out_names = len(kept), [arrow_type(f) for f in new], [f.name for f in kept] + [f.name for f in new]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -59,9 +68,9 @@ def append(df: DataFrame, inputs: Sequence[Column], ddl: str, make: Callable[[],
                 continue
             made = [
                 a if isinstance(a, pa.Array) else pa.array(a, t)
-                for a, t in zip(work(batch.columns[:many]), types, strict=True)
+                for a, t in zip(work([batch.columns[i] for i in places]), types, strict=True)
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[many:], *made], names=out_names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:many], *made], names=out_names)
 
     return source.mapInArrow(run, StructType([*kept, *new.fields]))
 

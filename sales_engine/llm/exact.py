@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted
+from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, text_of
 from sales_engine.llm.tables import written
 
 #: The filter never has more bits (32 MB), which bounds what is broadcast. Beyond that it lets more rows through
@@ -86,7 +86,7 @@ def with_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", carry_
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     bits, filled = repeat_filter(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(filled)
-    marked = append(docs, [quoted(text).cast("string")], "text_sha256 string, maybe boolean", _marks(bits, shared))
+    marked = append(docs, [text_of(docs, text)], "text_sha256 string, maybe boolean", _marks(bits, shared))
     if not carry_text:
         docs, marked = docs.drop(text), marked.drop(text)
     marked = written(marked.withColumn("row_number", F.monotonically_increasing_id()), "marked")

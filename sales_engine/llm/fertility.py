@@ -221,7 +221,7 @@ def judge_fertility(
     others = [c for c in docs.columns if c != text and c.lower() not in (*result, "base_failed", "kept")]
     measured = append(
         docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(others)], quoted(text).cast("string").alias("text")),
-        [F.col("text")],
+        ["text"],
         f"{BASE}, {FIGURES}",
         _figures(encoder, model),
     ).drop("text")

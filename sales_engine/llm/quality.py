@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, byte_texts, per_worker, quoted, streamed
+from sales_engine.llm.arrow import Arrays, append, byte_texts, per_worker, quoted, streamed, text_of
 from sales_engine.llm.labelled import is_held_out, training_texts
 from sales_engine.llm.remembered import Remembered
 
@@ -139,5 +139,5 @@ def score(docs: DataFrame, weights: np.ndarray, threshold: float = 0.3, key: str
         return work
 
     held = docs.withColumn("held_out", is_held_out(quoted(key)))
-    scored = append(held, [quoted(text).cast("string")], "score double", make)
+    scored = append(held, [text_of(held, text)], "score double", make)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -266,7 +266,7 @@ def remove_repeats(
     )
     cut = append(
         dirty.join(found, ["k1", "k2"], "left").select("row", "n_bytes", "text", "sure", "found"),
-        [F.col("text"), F.col("sure"), F.col("found")],
+        ["text", "sure", "found"],
         "text string, n_removed bigint, n_spans bigint, kept_sha256 string",
         _without(length),
     )

@@ -9,15 +9,17 @@ space mark itself among them, become byte pieces, so decoding gives every text b
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, per_worker, quoted
+from sales_engine.llm.arrow import Arrays, append, flat, per_worker, quoted, text_of, type_of
 from sales_engine.llm.remembered import Remembered
 
 MARK = "▁"
@@ -30,6 +32,8 @@ SLOT_BITS = 20
 KNOWN_UNITS = 300_000
 #: Characters of text that are segmented together.
 BLOCK = 1 << 18
+#: Rows that a round trip takes at a time.
+ROWS = 256
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 _NORMAL, _BYTE = 1, 6
 
@@ -285,6 +289,25 @@ def _encoding(model: str, seed: int, sharpness: float):
     return make
 
 
+def _decoding(model: str):
+    def make():
+        table = per_worker(f"{model} bytes", lambda: Pieces(model, 1.0).bytes_of)
+
+        def work(columns: Arrays) -> Arrays:
+            out = []
+            for row in columns[0]:
+                if not row.is_valid:
+                    out.append(None)
+                    continue
+                raw = b"".join(map(table.__getitem__, row.values.to_pylist()))
+                out.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
+            return [out]
+
+        return work
+
+    return make
+
+
 def encode(
     docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, sharpness: float = 1.0, name: str = "ids"
 ) -> DataFrame:
@@ -294,40 +317,43 @@ def encode(
     alone: rows with the same key and text get the same ids, rows without a key share one seed. A null or empty
     text has no ids. An empty table gives an empty result.
     """
-    inputs = [quoted(key).cast("string"), quoted(text).cast("string")]
+    inputs = [quoted(key).cast("string"), text_of(docs, text)]
     return append(docs, inputs, f"`{name}` array<int>", _encoding(model, seed, sharpness))
 
 
 def decode(rows: DataFrame, model: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """All rows and columns with ``name``: the text of ``ids``. Null ids give null; ids that aren't a text's (bytes
     that are no UTF-8) give replacement characters, unknown and control ids nothing."""
+    return append(rows, [ids], f"`{name}` string", _decoding(model))
 
-    def make():
-        table = per_worker(f"{model} bytes", lambda: Pieces(model, 1.0).bytes_of)
 
-        def work(columns: Arrays) -> Arrays:
-            out = []
-            for row in columns[0]:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                raw = b"".join(map(table.__getitem__, row.values.to_pylist()))
-                out.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
-            return [out]
+ROUND_TRIP = "n_tokens bigint, ids_crc32 bigint, decoded_sha256 string, lossless boolean"
 
-        return work
 
-    return append(rows, [quoted(ids)], f"`{name}` string", make)
+def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, sharpness: float = 1.0) -> DataFrame:
+    """Per row ``key, n_tokens, ids_crc32`` (of the ids as ``encode`` gives them, little-endian), ``decoded_sha256``
+    (of the text that ``decode`` makes of them) and ``lossless``: whether that is the row's text, null as empty.
+
+    A task encodes and decodes some rows at a time, so neither ids nor texts leave it.
+    """
+
+    def make():
+        encoded, decoded = _encoding(model, seed, sharpness)(), _decoding(model)()
+
+        def work(columns: Arrays) -> Iterator[Arrays]:
+            for at in range(0, len(columns[0]), ROWS):
+                keys, texts = (c.slice(at, ROWS) for c in columns[:2])
+                ids = encoded([keys.cast(pa.string()), texts])[0]
+                back = decoded([ids])[0]
+                yield [
+                    columns[2].slice(at, ROWS),
+                    [len(row.values) for row in ids],
+                    [zlib.crc32(row.values.to_numpy().astype("<i4").tobytes()) for row in ids],
+                    [hashlib.sha256(t.encode()).hexdigest() for t in back],
+                    [t == (own or "") for t, own in zip(back, texts.to_pylist(), strict=True)],
+                ]
 
+        return work
 
-def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0) -> DataFrame:
-    """Per row: ``key, n_tokens, ids_hash`` (XXH64 of the ids), ``decoded_sha256`` and ``lossless``."""
-    whole = docs.select(quoted(key).alias("key"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
-    both = decode(encode(whole, model, "key", "text", seed), model)
-    return both.select(
-        F.col("key").alias(key),
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.xxhash64("ids").alias("ids_hash"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text")).alias("lossless"),
-    )
+    inputs = [quoted(key).cast("string"), quoted(text).cast("string"), quoted(key)]
+    return flat(docs, inputs, f"`{key}` {type_of(docs, quoted(key))}, {ROUND_TRIP}", make)

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted
+from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, text_of
 from sales_engine.llm.components import smallest_members
 from sales_engine.llm.tables import written
 
@@ -56,7 +56,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, name
     def make():
         return lambda columns: [[fingerprint(t, shingle) for t in byte_texts(columns[0])]]
 
-    return append(docs, [quoted(text).cast("string")], f"`{name}` bigint", make)
+    return append(docs, [text_of(docs, text)], f"`{name}` bigint", make)
 
 
 def _segments(bits: int) -> list[int]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, quoted, streamed
+from sales_engine.llm.arrow import Arrays, append, quoted, streamed, text_of
 from sales_engine.llm.labelled import is_held_out, training_texts
 
 TRAIN_ROWS = 10_000
@@ -298,5 +298,5 @@ def score(docs: DataFrame, model: dict, threshold: float = 0.5, key: str = "doc_
         return work
 
     held = docs.withColumn("held_out", is_held_out(quoted(key)))
-    scored = append(held, [quoted(text).cast("string")], "score double, hits double", make)
+    scored = append(held, [text_of(held, text)], "score double, hits double", make)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -135,7 +135,7 @@ def judge_urls(
     )
     kind = type_of(urls, F.col("id"))
     none = F.lit(None)
-    rows = append(urls, [F.col("place")], "shard int", shard_of).select(
+    rows = append(urls, ["place"], "shard int", shard_of).select(
         "shard", F.lit(True).alias("is_url"), "prefix", "path", "host", none.cast("string").alias("action"), "id", "place"
     )
     rows = rows.unionAll(
@@ -144,7 +144,7 @@ def judge_urls(
             none.cast(kind).alias("id"), "place",
         )
     )
-    ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "place", "is_url", "prefix", "path")
+    ordered = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "place", "is_url", "prefix", "path")
     return streamed(
         ordered,
         [F.col(c) for c in ("shard", "is_url", "prefix", "path", "host", "action", "id")],

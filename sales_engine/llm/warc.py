@@ -223,7 +223,7 @@ def write_warc(
     def make():
         return lambda columns: [[digest(t) for t in byte_texts(columns[0])]]
 
-    rows = append(rows, [F.col("payload")], "digest string", make).select(
+    rows = append(rows, ["payload"], "digest string", make).select(
         "key", "url", "payload", "digest", F.octet_length("payload").cast("bigint").alias("bytes")
     )
     light = written(rows.select("key", "digest", "bytes"), "warc-digests")
@@ -245,7 +245,7 @@ def write_warc(
 
     def placed(df: DataFrame) -> DataFrame:
         spread = len(bounds) + 1 + F.pmod(F.xxhash64("digest"), F.lit(loose_shards))
-        return append(df, [F.col("key")], "range int", shard_of).withColumn("shard", F.coalesce("range", spread.cast("int")))
+        return append(df, ["key"], "range int", shard_of).withColumn("shard", F.coalesce("range", spread.cast("int")))
 
     columns = ["shard", "key", "digest", "kind", "refers_to", "url", "payload"]
     none = F.lit(None).cast("string")
@@ -254,7 +254,7 @@ def write_warc(
         "shard", "key", "digest", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("refers_to"), "url", "payload"
     )
     shards = len(bounds) + 1 + loose_shards
-    ordered = told.unionAll(said).repartition(shards, "shard").sortWithinPartitions("shard", "key", "digest", "kind", "url")
+    ordered = told.unionAll(said).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key", "digest", "kind", "url")
     files = streamed(ordered, [F.col(c) for c in columns], MANIFEST, _writer(dst, roll_bytes, date))
     return _commit(written(files, "warc-files"), dst)
 
@@ -275,7 +275,7 @@ def _commit(files: DataFrame, dst: str) -> DataFrame:
 
         return work
 
-    named = append(files, [F.col("temporary"), F.col("file")], "renamed string", rename).drop("renamed", "temporary")
+    named = append(files, ["temporary", "file"], "renamed string", rename).drop("renamed", "temporary")
     named.write.parquet(f"{dst}/manifest")
     return files.sparkSession.read.schema(named.schema).parquet(f"{dst}/manifest")
 
