@@ -29,11 +29,11 @@ BITS = 30
 #: First bits of a piece's hash by which it is looked up.
 SLOT_BITS = 20
 #: Distinct units whose lattices a worker remembers.
-KNOWN_UNITS = 300_000
+KNOWN_UNITS = 600_000
 #: Characters of text that are segmented together.
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 #: Rows that a round trip takes at a time.
-ROWS = 256
+ROWS = 1024
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 _NORMAL, _BYTE = 1, 6
 
@@ -294,13 +294,13 @@ def _decoding(model: str):
         table = per_worker(f"{model} bytes", lambda: Pieces(model, 1.0).bytes_of)
 
         def work(columns: Arrays) -> Arrays:
+            offsets, valid = columns[0].offsets.to_pylist(), columns[0].is_valid().to_pylist()
+            begin = offsets[0] if offsets else 0
+            parts = list(map(table.__getitem__, columns[0].values[begin : offsets[-1]].to_numpy().tolist()))
             out = []
-            for row in columns[0]:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                raw = b"".join(map(table.__getitem__, row.values.to_pylist()))
-                out.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace"))
+            for a, b, known in zip(offsets, offsets[1:], valid, strict=False):
+                raw = b"".join(parts[a - begin : b - begin])
+                out.append((raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace") if known else None)
             return [out]
 
         return work
@@ -345,10 +345,11 @@ def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
                 keys, texts = (c.slice(at, ROWS) for c in columns[:2])
                 ids = encoded([keys.cast(pa.string()), texts])[0]
                 back = decoded([ids])[0]
+                flat_ids, ends = ids.values.to_numpy().astype("<i4"), ids.offsets.to_pylist()
                 yield [
                     columns[2].slice(at, ROWS),
-                    [len(row.values) for row in ids],
-                    [zlib.crc32(row.values.to_numpy().astype("<i4").tobytes()) for row in ids],
+                    np.diff(ends).tolist(),
+                    [zlib.crc32(flat_ids[a:b].tobytes()) for a, b in zip(ends, ends[1:], strict=False)],
                     [hashlib.sha256(t.encode()).hexdigest() for t in back],
                     [t == (own or "") for t, own in zip(back, texts.to_pylist(), strict=True)],
                 ]
