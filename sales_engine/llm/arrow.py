@@ -37,6 +37,11 @@ def arrow_type(field: StructField) -> pa.DataType:
     return to_arrow_type(field.dataType)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A name like this one that no column has."""
+    return name + "_" * max([0, *map(len, df.columns)])
+
+
 def text_of(df: DataFrame, name: str) -> Column | str:
     """The column as text: its name if it is one."""
     return name if dict(df.dtypes)[name] == "string" else quoted(name).cast("string")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, text_of
+from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, spare, text_of
 from sales_engine.llm.tables import written
 
 #: The filter never has more bits (32 MB), which bounds what is broadcast. Beyond that it lets more rows through
@@ -82,23 +82,24 @@ def with_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", carry_
     An empty table gives an empty result; columns named like a result's are replaced. ``carry_text=False`` leaves
     the text out of the result and of the tables in between.
     """
-    added = ("keep_id", "group_size", "kept", "text_sha256", "maybe", "row_number")
+    added = ("keep_id", "group_size", "kept", "text_sha256")
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
+    maybe, number, keeper = (spare(docs, n) for n in ("maybe", "row_number", "keeper"))
     bits, filled = repeat_filter(docs, text)
     shared = docs.sparkSession.sparkContext.broadcast(filled)
-    marked = append(docs, [text_of(docs, text)], "text_sha256 string, maybe boolean", _marks(bits, shared))
+    marked = append(docs, [text_of(docs, text)], f"text_sha256 string, {maybe} boolean", _marks(bits, shared))
     if not carry_text:
         docs, marked = docs.drop(text), marked.drop(text)
-    marked = written(marked.withColumn("row_number", F.monotonically_increasing_id()), "marked")
-    candidates = marked.where("maybe")
+    marked = written(marked.withColumn(number, F.monotonically_increasing_id()), "marked")
+    candidates = marked.where(F.col(maybe))
     groups = candidates.groupBy("text_sha256").agg(
         F.max(quoted(key)).alias("keep_id"),
         F.count("*").alias("group_size"),
-        F.max_by("row_number", F.struct(quoted(key).isNotNull(), quoted(key))).alias("keeper"),
+        F.max_by(number, F.struct(quoted(key).isNotNull(), quoted(key))).alias(keeper),
     )
     columns = [*[quoted(c) for c in docs.columns], "keep_id", "group_size", "kept", "text_sha256"]
-    alone = marked.where("not maybe").select(
+    alone = marked.where(~F.col(maybe)).select(
         "*", quoted(key).alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept")
     )
-    grouped = candidates.join(written(groups, "groups"), "text_sha256").withColumn("kept", F.col("row_number") == F.col("keeper"))
+    grouped = candidates.join(written(groups, "groups"), "text_sha256").withColumn("kept", F.col(number) == F.col(keeper))
     return alone.select(*columns).unionAll(grouped.select(*columns))

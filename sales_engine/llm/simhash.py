@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, text_of
+from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, spare, text_of
 from sales_engine.llm.components import smallest_members
 from sales_engine.llm.tables import written
 
@@ -149,7 +149,7 @@ def near_components(
     """
     added = ("fingerprint", "component_id", "component_keeper")
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    number = "row_number_" + "_" * max(map(len, docs.columns))
+    number, word, keeper = (spare(docs, n) for n in ("row_number", "word", "keeper"))
     rows = with_fingerprint(docs, text, shingle).withColumn(number, F.monotonically_increasing_id())
     if not carry_text:
         docs, rows = docs.drop(text), rows.drop(text)
@@ -165,9 +165,10 @@ def near_components(
     )
     best = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.min_by("keeper", "first").alias("keeper"))
     of_word = written(rooted.select("root", "word").join(written(best, "components"), "root").select("word", "component_id", "keeper"), "word-components")
-    found = rows.join(of_word, F.col("fingerprint") == F.col("word"))
+    of_word = of_word.select(F.col("word").alias(word), "component_id", F.col("keeper").alias(keeper))
+    found = rows.join(of_word, F.col("fingerprint") == F.col(word))
     return found.select(
-        *[quoted(c) for c in docs.columns], "fingerprint", "component_id", (F.col(number) == F.col("keeper")).alias("component_keeper")
+        *[quoted(c) for c in docs.columns], "fingerprint", "component_id", (F.col(number) == F.col(keeper)).alias("component_keeper")
     )
 
 
