@@ -128,6 +128,36 @@ def _quartiles(method: str) -> Callable[[DataFrame], DataFrame]:
     return both
 
 
+def _approx_within_error(df: DataFrame) -> DataFrame:
+    """Whether each sketch quartile's rank is within the sketch's error, 1 in 10,000 of the rows."""
+    rows = []
+    for name, column in {"quantity": CSV_SPEC.quantity, "revenue": CSV_SPEC.revenue}.items():
+        values = df.select(to_number(F.col(column)).alias("x"))
+        both = values.crossJoin(F.broadcast(quartiles(values, F.col("x"), "approx")))
+        counts = both.agg(
+            F.count("x").alias("n"),
+            *[F.count_if(F.col("x") < F.col(q)).alias(f"{q}_below") for q in ("q1", "q3")],
+            *[F.count_if(F.col("x") <= F.col(q)).alias(f"{q}_upto") for q in ("q1", "q3")],
+        )
+        off = F.col("n") / 10_000 + 1
+        near = [F.lit(p * 1.0) * F.col("n") for p in (0.25, 0.75)]
+        rows.append(
+            counts.select(
+                F.lit(name).alias("measure"),
+                *[(at.between(F.col(f"{q}_below") - off, F.col(f"{q}_upto") + off)).alias(f"{q}_within") for q, at in zip(("q1", "q3"), near, strict=True)],
+            )
+        )
+    return rows[0].unionAll(rows[1])
+
+
+def _clock_load_time(df: DataFrame) -> DataFrame:
+    """How a cleaned channel's load time comes out when the clock gives it: never missing, one value a run, in UTC order."""
+    return clean_sales(df, CSV_SPEC, "approx").agg(
+        F.count_if(F.col(CSV_SPEC.load_ts).isNull()).alias("missing"),
+        F.count_distinct(CSV_SPEC.load_ts).alias("different"),
+    )
+
+
 def _cut_quantity(df: DataFrame) -> DataFrame:
     unique = prepare_sales(df, CSV_SPEC)
     return drop_outliers_iqr(unique, to_number(F.col(CSV_SPEC.quantity)), method="exact")
@@ -168,7 +198,8 @@ QUERIES: dict[str, Query] = {
     "impute": _on_csv(lambda df: impute(_kept(df), profile(df, CSV_SPEC), CSV_SPEC)),
     "dedupe_rows": _on_csv(dedupe),
     "quartiles": _on_csv(_quartiles("exact")),
-    "quartiles_approx": _on_csv(_quartiles("approx")),
+    "quartiles_approx": _on_csv(_approx_within_error),
+    "clock_load_time": _on_csv(_clock_load_time),
     "iqr_quantity": _on_csv(_cut_quantity),
     "iqr_revenue": _on_csv(lambda df: cut_outliers(prepare_sales(df, CSV_SPEC), CSV_SPEC, method="exact")),
     "cast_types": _on_csv(lambda df: cast_types(df, CSV_SPEC)),

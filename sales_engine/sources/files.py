@@ -12,14 +12,13 @@ from pyspark.sql import types as T
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ",") -> DataFrame:
     """Delimited files with a header (directory, file or glob).
 
-    Without a schema the header names the columns and all of them are text; with
-    one, no header has to be read up front. Empty fields are NULL either way.
+    Without a schema the first file's header names the columns and all of them are
+    text; with one, no header has to be read up front. A file whose header has
+    other columns or another order fails the read. Empty fields are NULL either way.
     """
-    reader = spark.read.option("header", True).option("sep", sep)
-    if schema is not None:
-        # columns are matched by position, so a file with other columns must not pass
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    # columns are matched by position, so a file with another header than the first one's, or the schema, must not pass
+    reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    return (reader if schema is None else reader.schema(schema)).csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",", **options: str) -> None:

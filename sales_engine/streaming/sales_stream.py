@@ -52,8 +52,12 @@ def land_batch(batch: DataFrame, batch_id: int, dst: str, run: str = "0") -> Non
     A batch that is replayed after a failure replaces what its first attempt
     left. Errors are raised, so offsets are only committed for landed rows.
     """
-    if not batch.isEmpty():
-        batch.write.mode("overwrite").json(f"{dst.rstrip('/')}/run={run}/batch_id={batch_id}")
+    batch = batch.persist()  # the source is read once for the check and the write
+    try:
+        if not batch.isEmpty():
+            batch.write.mode("overwrite").json(f"{dst.rstrip('/')}/run={run}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
 
 
 def start_landing(
@@ -68,7 +72,9 @@ def start_landing(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        land_batch(batch, batch_id, dst, run or "0")
+        if not run:
+            raise RuntimeError("the query id is unknown: landing could overwrite another run's batches")
+        land_batch(batch, batch_id, dst, run)
 
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(land)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

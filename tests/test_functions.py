@@ -102,3 +102,16 @@ def test_parse_lat_lon(spark, ansi):
 def test_continent(spark, lat, lon, name):
     df = spark.createDataFrame([(lat, lon)], "lat double, lon double")
     assert df.select(continent(F.col("lat"), F.col("lon"))).first()[0] == name
+
+
+def test_exact_sum_of_small_and_huge_values(spark, ansi):
+    df = spark.createDataFrame([(1e-7,)] * 10 + [(1e19,), (1e19,), (-0.5,)], "x double")
+    assert df.agg(exact_sum(F.col("x"), 12)).first()[0] == Decimal("19999999999999999999.500001")
+    assert df.where("x < 1").agg(exact_sum(F.col("x"), 12)).first()[0] == Decimal("-0.499999")
+    beyond = spark.createDataFrame([(1e300,), (1.0,)], "x double")
+    assert beyond.agg(exact_sum(F.col("x"))).first()[0] is None
+
+
+def test_to_int_takes_plain_decimals_only(spark, ansi):
+    assert values(spark, "string", ["12d", "1e3", " 7 ", "+5.", ".5", "0x1"], to_int) == [None, None, 7, 5, 0, None]
+    assert values(spark, "double", [1e7, 2.5], to_int) == [10_000_000, 2]

@@ -235,3 +235,10 @@ def test_units_on_date_matches_midnight_only(spark):
         "select timestamp'1974-10-18 05:00:00', 4 union all select timestamp'1974-10-18 00:00:00', 5"
     )
     assert [r.total_sold for r in reports.units_on_date(sales, "1974-10-18").collect()] == [8]
+
+
+def test_files_with_another_column_order_fail(spark, tmp_path):
+    for name, header in (("a", "Date,StoreID\n2024-01-01,7\n"), ("b", "StoreID,Date\n7,2024-01-01\n")):
+        (tmp_path / f"{name}.csv").write_text(header)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path)).collect()

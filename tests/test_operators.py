@@ -55,7 +55,7 @@ def test_quartiles_of_nothing(spark, method):
 def test_approx_quartiles_stay_within_the_rank_error(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_extendedprice")
     n = df.count()
-    for p, value in zip((0.25, 0.75), quartiles(df, F.col("l_extendedprice")).first()):
+    for p, value in zip((0.25, 0.75), quartiles(df, F.col("l_extendedprice"), "approx").first()):
         below, upto = df.where(F.col("l_extendedprice") < value).count(), df.where(F.col("l_extendedprice") <= value).count()
         assert below - n / 10000 - 1 <= p * n <= upto + n / 10000 + 1
 
@@ -190,3 +190,22 @@ def test_conform_names_types_and_missing_columns(spark, ansi):
 def test_union_keeps_duplicates(spark):
     df = spark.range(3)
     assert union_channels(df, df, df).count() == 9
+
+
+def test_out_of_range_numbers_do_not_stop_the_profile(spark, ansi):
+    from sales_engine.operators.profile import profile
+
+    rows = [("2024-01-01", "1", "p", "2", "10.5")] * 50 + [("2024-01-02", "1", "p", "1e12", "1e19"), ("x", "1", "p", "1e300", "5")]
+    df = spark.createDataFrame(rows, "Date string, StoreID string, ProductID string, QuantitySold string, Revenue string")
+    row = profile(df, CSV_SPEC).first()
+    assert row.mode_date == "2024-01-01" and row.mean_quantity is None
+    assert abs(row.mean_revenue / (1e19 / 52) - 1) < 1e-12
+    assert profile(df.where("QuantitySold <> '1e300'"), CSV_SPEC).first().mean_quantity == (100 + 10**12) // 51
+
+
+def test_exact_quartiles_of_tiny_values_next_to_larger_ones(spark):
+    rows = [(k * 1e-28 if k % 2 else k * 1e-12,) for k in range(1, 4000)] + [(1e-4,), (-3.0,), (0.0,)]
+    values = sorted(v for v, in rows)
+    df = spark.createDataFrame(rows, "x double")
+    expected = tuple(values[-(-p * len(values) // 4) - 1] for p in (1, 3))
+    assert tuple(quartiles(df, F.col("x"), "exact").first()) == expected
