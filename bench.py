@@ -56,6 +56,11 @@ def scalar_by_scalar(df: DataFrame, spec: CleanSpec) -> DataFrame:
     return cast_types(rows, spec)
 
 
+def processor() -> str:
+    with open("/proc/cpuinfo") as lines:
+        return next((line.split(":", 1)[1].strip() for line in lines if line.startswith("model name")), "unknown")
+
+
 def timed(run) -> float:
     start = time.perf_counter()
     run()
@@ -96,6 +101,8 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "machine": {"cpus": int(cpus), "cores": os.cpu_count(), "processor": processor()},
+                "yardstick_ratio": round(times["clean_sales_csv"] / others["scalar_by_scalar"], 3),
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "other_ways_to_clean_csv": others,
             }

@@ -16,28 +16,33 @@ from sales_engine.operators.cleaning import cast_types, dedupe, flag_processed,
 from sales_engine.operators.conform import enrich, to_sales
 from sales_engine.operators.joins import join_dimension
 from sales_engine.operators.profile import mode_of, profile
-from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles
+from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles, quartiles_of_each
 from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales, clean_stores, cut_outliers, prepare_sales
 from sales_engine.plans.pipeline import build_tables, read_sales, read_stores
-from sales_engine.schemas import CSV_SALES, CSV_SPEC, DB_SPEC, STREAM_SALES, STREAM_SPEC, sales_mapping
+from sales_engine.schemas import CSV_SALES, CSV_SPEC, DB_SPEC, STREAM_SALES, STREAM_SPEC, CleanSpec, sales_mapping
 from sales_engine.session import scratch_dir
 from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, write_delimited, write_json
 from sales_engine.streaming.sales_stream import decode, read_landed, read_stream, run_until, start_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SPREAD = ["product_ID", "date", "revenue"]
-
 
 # -- shared inputs ---------------------------------------------------------
 
-_built: dict[tuple[str, str], str] = {}
+_built: dict[tuple, str] = {}
+
+
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, size and time of every input file the report tables are built from."""
+    tables = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "events", "customer", "nation", "supplier")]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(tables)
+    return tuple(sorted(map(tuple, files.select("path", "length", "modificationTime").collect())))
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Cleaned sales and stores of a data set, written once per application for all reports."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Cleaned sales and stores of a data set, written once per application and state of its files for all reports."""
+    key = (spark.sparkContext.applicationId, _listing(spark, sf_dir))
     if key not in _built:
         dst = scratch_dir(spark, "tables")
         channels = [
@@ -99,7 +104,7 @@ def stream_land_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_land_compact_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     compacted = scratch_dir(spark, "compacted")
     compact(spark, _land(spark, sf_dir), compacted, STREAM_SALES, drop=("run", "batch_id"))
-    return clean_sales(read_json(spark, compacted, STREAM_SALES), STREAM_SPEC, "exact", LOAD_TS)
+    return _clean(read_json(spark, compacted, STREAM_SALES), STREAM_SPEC)
 
 
 def decode_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,16 +121,8 @@ def _kept(df: DataFrame) -> DataFrame:
     return require(flag_processed(df, CSV_SPEC), [CSV_SPEC.store, CSV_SPEC.product], CSV_SPEC.sentinels)
 
 
-def _quartiles(method: str) -> Callable[[DataFrame], DataFrame]:
-    def both(df: DataFrame) -> DataFrame:
-        measures = {"quantity": CSV_SPEC.quantity, "revenue": CSV_SPEC.revenue}
-        rows = [
-            quartiles(df, to_number(F.col(column)), method).select(F.lit(name).alias("measure"), "q1", "q3")
-            for name, column in measures.items()
-        ]
-        return rows[0].unionAll(rows[1])
-
-    return both
+def _quartiles(df: DataFrame) -> DataFrame:
+    return quartiles_of_each(df, {m: to_number(F.col(getattr(CSV_SPEC, m))) for m in ("quantity", "revenue")})
 
 
 def _approx_within_error(df: DataFrame) -> DataFrame:
@@ -163,9 +160,9 @@ def _cut_quantity(df: DataFrame) -> DataFrame:
     return drop_outliers_iqr(unique, to_number(F.col(CSV_SPEC.quantity)), method="exact")
 
 
-def clean_sales_csv_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging = scratch_dir(spark, "staging")
-    return clean_sales(views.sales_csv(spark, sf_dir), CSV_SPEC, "exact", LOAD_TS, staging)
+def _clean(df: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Cleaned as the jobs do it: the de-duplicated rows are staged."""
+    return clean_sales(df, spec, "exact", LOAD_TS, scratch_dir(df.sparkSession, "staging"))
 
 
 # -- geography -------------------------------------------------------------
@@ -197,7 +194,7 @@ QUERIES: dict[str, Query] = {
     "require_keys": _on_csv(_kept),
     "impute": _on_csv(lambda df: impute(_kept(df), profile(df, CSV_SPEC), CSV_SPEC)),
     "dedupe_rows": _on_csv(dedupe),
-    "quartiles": _on_csv(_quartiles("exact")),
+    "quartiles": _on_csv(_quartiles),
     "quartiles_approx": _on_csv(_approx_within_error),
     "clock_load_time": _on_csv(_clock_load_time),
     "iqr_quantity": _on_csv(_cut_quantity),
@@ -208,22 +205,21 @@ QUERIES: dict[str, Query] = {
             F.col("timestamp").alias("epoch_ms"), epoch_ms_to_ts(F.col("timestamp")).alias("event_time")
         )
     ),
-    "clean_sales_csv": _on_csv(lambda df: clean_sales(df, CSV_SPEC, "exact", LOAD_TS)),
-    "clean_sales_csv_staged": clean_sales_csv_staged,
-    "clean_sales_stream": _on_stream(lambda df: clean_sales(df, STREAM_SPEC, "exact", LOAD_TS)),
-    "clean_sales_db": lambda spark, sf_dir: clean_sales(
-        views.sales_db(spark, sf_dir), DB_SPEC, "exact", LOAD_TS
-    ),
+    "clean_sales_csv": _on_csv(lambda df: _clean(df, CSV_SPEC)),
+    "clean_sales_csv_lazy": _on_csv(lambda df: clean_sales(df, CSV_SPEC, "exact", LOAD_TS)),
+    "clean_sales_csv_staged": _on_csv(lambda df: _clean(df, CSV_SPEC)),
+    "clean_sales_stream": _on_stream(lambda df: _clean(df, STREAM_SPEC)),
+    "clean_sales_db": lambda spark, sf_dir: _clean(views.sales_db(spark, sf_dir), DB_SPEC),
     "clean_stores": lambda spark, sf_dir: clean_stores(views.stores_export(spark, sf_dir), load_ts=LOAD_TS),
     "parse_lat_lon": parse_coordinates,
     "assign_continent": assign_continent,
     "conform_sales": _on_csv(
-        lambda df: to_sales(clean_sales(df, CSV_SPEC, "exact", LOAD_TS), sales_mapping(CSV_SPEC))
+        lambda df: to_sales(_clean(df, CSV_SPEC), sales_mapping(CSV_SPEC))
     ),
     "union_channels": _on_sales(lambda sales: sales),
     "enrich_sales": _on_tables(enrich),
     "enrich_sales_salted": _on_tables(
-        lambda sales, stores: join_dimension(sales, stores, "store_ID", SPREAD, limit=-1)
+        lambda sales, stores: join_dimension(sales, stores, "store_ID", limit=-1)
     ),
     "top_store": _on_tables(reports.top_store),
     "units_on_date": _on_sales(lambda sales: reports.units_on_date(sales, "1998-08-23")),

@@ -228,6 +228,7 @@ QUERIES = {
         SELECT "timestamp" AS epoch_ms, make_timestamp(cast("timestamp" AS bigint) * 1000) AS event_time
         FROM f_stream""",
     "clean_sales_csv": "SELECT * FROM csv_clean",
+    "clean_sales_csv_lazy": "SELECT * FROM csv_clean",
     "clean_sales_csv_staged": "SELECT * FROM csv_clean",
     "clean_sales_stream": "SELECT * FROM stream_clean",
     "clean_sales_db": "SELECT * FROM db_clean",

@@ -17,7 +17,7 @@ from sales_engine.operators.conform import to_sales, to_stores, union_channels
 from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales, clean_stores
 from sales_engine.plans.pipeline import build_tables, read_sales, read_stores
-from sales_engine.session import build_session, checkpointed, object_store_conf, scratch_dir, size_for
+from sales_engine.session import build_session, checkpointed, delete, object_store_conf, scratch_dir, sized_for
 from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited
 from sales_engine.sources.jdbc import connection, read_jdbc, snapshot_table, write_jdbc
 from sales_engine.streaming.sales_stream import decode, read_stream, run_until, start_landing, topic_options
@@ -74,14 +74,18 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
-    size_for(spark, stored_bytes(spark, args.src))
-    raw = raw_channel(spark, args.channel, args.src)
-    cleaned = clean_sales(raw, CHANNELS[args.channel], args.quartiles, staging=scratch_dir(spark, "staging"))
-    if args.url:
-        # the few connections of the load must not narrow the cleaning itself
-        write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
-    else:
-        write_delimited(cleaned, args.dst)
+    staging = scratch_dir(spark, "staging")
+    try:
+        with sized_for(spark, stored_bytes(spark, args.src)):
+            raw = raw_channel(spark, args.channel, args.src)
+            cleaned = clean_sales(raw, CHANNELS[args.channel], args.quartiles, staging=staging)
+            if args.url:
+                # the few connections of the load must not narrow the cleaning itself
+                write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
+            else:
+                write_delimited(cleaned, args.dst)
+    finally:
+        delete(spark, staging)
 
 
 def _clean_stores(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -98,18 +102,24 @@ def _snapshot_stores(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
-    size_for(spark, sum(stored_bytes(spark, path) for path in (args.csv, args.stream, args.db) if path))
+    size = sum(stored_bytes(spark, path) for path in (args.csv, args.stream, args.db) if path)
     channels = [
         (raw_channel(spark, name, path), CHANNELS[name])
         for name, path in (("csv", args.csv), ("stream", args.stream), ("db", args.db))
         if path
     ]
     stores = read_delimited(spark, args.stores)
-    build_tables(args.dst, channels, stores, args.quartiles)
+    with sized_for(spark, size):
+        build_tables(args.dst, channels, stores, args.quartiles)
 
 
 def _report(spark: SparkSession, args: argparse.Namespace) -> None:
-    size_for(spark, sum(stored_bytes(spark, p) for p in (args.tables, args.csv, args.stream, args.db) if p))
+    size = sum(stored_bytes(spark, p) for p in (args.tables, args.csv, args.stream, args.db) if p)
+    with sized_for(spark, size):
+        _show_report(spark, args)
+
+
+def _show_report(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.tables:
         sales, stores = read_sales(spark, args.tables), read_stores(spark, args.tables)
     else:
@@ -179,8 +189,23 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def parsed(argv: list[str] | None = None) -> argparse.Namespace:
+    """The arguments; ones that would leave a job without a date, an input or a target end it before it starts."""
+    top = parser()
+    args = top.parse_args(argv)
+    if args.job == "report" and args.name == "units_on_date" and not args.date:
+        top.error("units_on_date needs --date")
+    if args.job == "report" and args.name in WITH_STORES and not (args.tables or args.stores):
+        top.error(f"{args.name} needs --tables, or channels and --stores")
+    if args.job in ("build", "report") and not (getattr(args, "tables", None) or args.csv or args.stream or args.db):
+        top.error(f"{args.job} needs at least one input")
+    if args.job == "clean" and not (args.dst or (args.url and args.table)):
+        top.error("clean needs --dst, or --url and --table")
+    return args
+
+
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    args = parsed(argv)
     conf = {}
     if args.endpoint:
         keys = os.environ.get("OBJECT_STORE_KEY"), os.environ.get("OBJECT_STORE_SECRET")

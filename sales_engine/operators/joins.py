@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -21,22 +18,12 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
-def join_dimension(
-    fact: DataFrame, dim: DataFrame, on: str, spread_by: Sequence[str], limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, on: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Inner join on ``on``; the fact is not shuffled while the dimension's measured size allows it.
 
-    Beyond the limit both sides are shuffled. A key may own a third of the fact,
-    so its rows are spread over ``SALTS`` tasks and the dimension is repeated per
-    salt. The salt depends on the values in ``spread_by`` and, since those rows
-    may all be copies, on the input partition; both are the same after a retry.
+    Beyond the limit both sides are shuffled by the key and merged. A key may own a third of the fact, or be one
+    row's copies throughout: adaptive execution splits such a partition by the tasks that wrote it, into as many
+    parts as its bytes ask for, and reads the key's few dimension rows once a part. Filters on either side reach
+    its scan in both forms.
     """
-    if fits_broadcast(dim, limit):
-        return fact.join(F.broadcast(dim), on)
-    salt = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return (
-        fact.withColumn("_salt", salt)
-        .join(dim.withColumn("_salt", copies).hint("shuffle_merge"), [on, "_salt"])
-        .drop("_salt")
-    )
+    return fact.join(F.broadcast(dim) if fits_broadcast(dim, limit) else dim.hint("shuffle_merge"), on)

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BANDS_PER_E_FOLD = 4096
-SLICES = 4096
+SLICES = 1 << 20
 
 
 def quartiles(df: DataFrame, value: Column, method: str = "exact", accuracy: int = 10000) -> DataFrame:
@@ -19,17 +19,27 @@ def quartiles(df: DataFrame, value: Column, method: str = "exact", accuracy: int
     ``approx`` is Spark's ``percentile_approx``: one pass, rank error at most
     1/accuracy, but a single task merges one sketch of every other task.
     """
-    values = df.select(value.alias("x"))
     if method == "approx":
         both = F.percentile_approx("x", [0.25, 0.75], accuracy)
-        return values.agg(both.alias("q")).select(
+        return df.select(value.alias("x")).agg(both.alias("q")).select(
             F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("q3")
         )
     if method == "exact":
-        return _exact_quartiles(values)
+        return _exact_quartiles(df.select(F.lit(0).alias("measure"), value.alias("x")), 1).select("q1_0", "q3_0").toDF("q1", "q3")
     raise ValueError(f"unknown quartile method: {method}")
 
 
+def quartiles_of_each(df: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """Exact quartiles ``(measure, q1, q3)`` of several columns in one set of passes; NULLs where there are no values."""
+    each = F.array(*[F.struct(F.lit(i).alias("measure"), c.alias("x")) for i, c in enumerate(measures.values())])
+    found = _exact_quartiles(df.select(F.inline(each)), len(measures))
+    rows = [
+        F.struct(F.lit(name).alias("measure"), F.col(f"q1_{i}").alias("q1"), F.col(f"q3_{i}").alias("q3"))
+        for i, name in enumerate(measures)
+    ]
+    return found.select(F.inline(F.array(*rows)))
+
+
 def _band(x: Column) -> Column:
     """Non-decreasing step function of a double with steps about 0.025 % wide, however small or large it is."""
     size = F.floor(F.ln(F.abs(x)) * BANDS_PER_E_FOLD) + 4_000_000
@@ -52,44 +62,48 @@ def _at_rank(counts: DataFrame) -> DataFrame:
 
 
 def _running(order: str) -> Column:
-    return F.sum("n").over(W.partitionBy("quarter").orderBy(order))
+    return F.sum("n").over(W.partitionBy("measure", "quarter").orderBy(order))
+
 
+def _exact_quartiles(values: DataFrame, measures: int) -> DataFrame:
+    """One row ``q1_0, q3_0, q1_1, ...`` of the values ``x`` of each ``measure`` (0 and up).
 
-def _exact_quartiles(values: DataFrame) -> DataFrame:
-    """Narrow down to a band of values, to a slice of that band, to one value.
+    Narrow down to a band of values, to a slice of that band, to one value.
 
     Every pass counts before it shuffles, so a value on a third of the rows is
     one row per task. What one task adds up is a list of bands (12 million for all
-    doubles there are), then of 4096 slices, then of the different values in one
-    slice, whose width is a sixteen-millionth of the value, however small: one price
-    in cents up to 160,000, a hundred around 16 million, and never more than 2^29.
+    doubles there are), then of a million slices, then of the different values in one
+    slice, whose width is a four-billionth of the value, however small: one price in
+    cents up to 40 million, and never more than 2^21 doubles.
 
     NULLs are left to ``count(x)`` and null-safe joins: a NULL filter, written or
     inferred, would move below a preceding shuffle and keep the passes from
     sharing it.
     """
     x, n = F.col("x"), F.count("x").alias("n")
-    bands = values.groupBy(_band(x).alias("band")).agg(n, F.min("x").alias("lo"), F.max("x").alias("hi"))
+    bands = values.groupBy("measure", _band(x).alias("band")).agg(n, F.min("x").alias("lo"), F.max("x").alias("hi"))
     ranked = (
-        bands.withColumn("upto", F.sum("n").over(W.orderBy("band")))
-        .withColumn("total", F.sum("n").over(W.partitionBy()))
+        bands.withColumn("upto", F.sum("n").over(W.partitionBy("measure").orderBy("band")))
+        .withColumn("total", F.sum("n").over(W.partitionBy("measure")))
         .select("*", F.explode(F.array(F.lit(1), F.lit(3))).alias("quarter"))
         .withColumn("rank", F.ceil(F.col("quarter") * F.col("total") / 4))
         .drop("total")
     )
-    band = F.broadcast(_at_rank(ranked))  # two rows
-    in_band = _band(x).eqNullSafe(F.col("band"))
+    band = F.broadcast(_at_rank(ranked).withColumnRenamed("measure", "of"))  # two rows a measure
+    in_band = (F.col("measure") == F.col("of")) & _band(x).eqNullSafe(F.col("band"))
     slices = (
         values.join(band, in_band)
-        .groupBy("quarter", "rank", "band", "lo", "hi", _slice(x).alias("slice"))
+        .groupBy("measure", "quarter", "rank", "band", "lo", "hi", _slice(x).alias("slice"))
         .agg(n)
     )
-    slice_ = F.broadcast(_at_rank(slices.withColumn("upto", _running("slice"))))  # two rows
+    found = _at_rank(slices.withColumn("upto", _running("slice"))).withColumnRenamed("measure", "of")
+    slice_ = F.broadcast(found)  # two rows a measure
     in_slice = in_band & _slice(x).eqNullSafe(F.col("slice"))
-    inside = values.join(slice_, in_slice).groupBy("quarter", "rank", "x").agg(n)
+    inside = values.join(slice_, in_slice).groupBy("measure", "quarter", "rank", "x").agg(n)
+    of = [(i, q) for i in range(measures) for q in (1, 3)]
+    here = F.col("measure") * 4 + F.col("quarter")
     return _at_rank(inside.withColumn("upto", _running("x"))).agg(
-        F.max(F.when(F.col("quarter") == 1, x)).alias("q1"),
-        F.max(F.when(F.col("quarter") == 3, x)).alias("q3"),
+        *[F.max(F.when(here == i * 4 + q, x)).alias(f"q{q}_{i}") for i, q in of]
     )
 
 

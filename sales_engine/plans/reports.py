@@ -61,7 +61,7 @@ def top_product_sales(sales: DataFrame) -> DataFrame:
     totals = sales.groupBy("product_ID").agg(F.sum("quantity_Sold").alias("total_sold"))
     winners = checkpointed(top_with_ties(totals, "total_sold"))
     rest = [c for c in sales.columns if c != "product_ID"]
-    found = join_dimension(sales, winners, "product_ID", ["store_ID", "date", "revenue"])
+    found = join_dimension(sales, winners, "product_ID")
     return found.select("product_ID", "total_sold", *rest)
 
 

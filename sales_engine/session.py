@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +25,6 @@ def object_store_conf(
         "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
         "spark.hadoop.fs.s3a.connection.maximum": str(max_connections),
         "spark.hadoop.fs.s3a.fast.upload.buffer": "bytebuffer",
-        "spark.hadoop.fs.s3a.committer.name": "partitioned",
-        "spark.hadoop.fs.s3a.committer.staging.conflict-mode": "replace",
     }
     if endpoint:
         conf["spark.hadoop.fs.s3a.endpoint"] = endpoint
@@ -53,13 +54,13 @@ def build_session(app: str, master: str | None = None, conf: dict[str, str] | No
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    Where neither is set, a local run gets a temporary folder; on a cluster that
-    would be a machine-local path, so it is refused.
+    Where neither is set, a run in one process gets a temporary folder; on a cluster, a local
+    one included, that would be a machine-local path, so it is refused.
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not re.match(r"local($|\[)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="sales-engine-")
     if context.getCheckpointDir() is None:
@@ -72,18 +73,40 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def size_for(spark: SparkSession, input_bytes: int) -> None:
-    """Set scan and shuffle partition counts for an input of this size.
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a table that nothing will read again, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Scan and shuffle partition counts for an input of this size; the former settings return at the end.
 
     Adaptive execution merges shuffle partitions that turn out small but never
     splits a plain one, so the starting number has to suit the largest shuffle,
-    the de-duplication, which moves about as much as the input holds.
+    the de-duplication, which moves about as much as the input holds. Neither count
+    has a ceiling: a partition stays at 256 MB, and scan splits grow so that there are at
+    most 100,000 of them, which keeps the number of shuffle blocks down.
     """
     mb = 1024 * 1024
-    scan = min(max(input_bytes // 200_000, 128 * mb), 1024 * mb)
-    shuffles = min(max(ceil(input_bytes / (256 * mb)), int(spark.conf.get("spark.sql.shuffle.partitions"))), 65_536)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(shuffles))
+    scan = max(input_bytes // 100_000, 128 * mb)
+    shuffles = max(ceil(input_bytes / (256 * mb)), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffles),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

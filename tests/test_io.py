@@ -8,7 +8,7 @@ from checks import views
 from sales_engine.plans import reports
 from sales_engine import jobs
 from sales_engine.schemas import CSV_SALES, STREAM_SALES
-from sales_engine.session import checkpointed, object_store_conf, scratch_dir, shared_dir, size_for
+from sales_engine.session import checkpointed, object_store_conf, scratch_dir, shared_dir, sized_for
 from sales_engine.sources import jdbc
 from sales_engine.sources.files import (
     compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited, write_json,
@@ -188,18 +188,32 @@ class Unnamed:
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError):
         shared_dir(Unnamed("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        shared_dir(Unnamed("local-cluster[2,1,1024]"))
     local = Unnamed("local[2]")
     assert shared_dir(local) == local.folder == shared_dir(local)
 
 
 def test_partition_counts_follow_the_input(spark):
     keys = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    want = {0: (128 << 20, 4), 10 << 30: (128 << 20, 40), 100 << 40: ((100 << 40) // 200_000, 65_536)}
+    want = {0: (128 << 20, 4), 10 << 30: (128 << 20, 40), 100 << 40: ((100 << 40) // 100_000, 409_600)}
+    before = [spark.conf.get(k, None) for k in keys]
     for size, counts in want.items():
-        size_for(spark, size)
-        assert tuple(int(spark.conf.get(k)) for k in keys) == counts
-    for k in keys:
-        spark.conf.unset(k)
+        with sized_for(spark, size):
+            assert tuple(int(spark.conf.get(k)) for k in keys) == counts
+        assert [spark.conf.get(k, None) for k in keys] == before
+
+
+@pytest.mark.parametrize(
+    "argv",
+    [
+        ["report", "units_on_date", "--tables", "t"], ["report", "top_store", "--csv", "c"], ["build", "--stores", "s", "--dst", "d"],
+        ["clean", "csv", "--src", "s"], ["clean", "csv", "--src", "s", "--url", "jdbc:x"],
+    ],
+)
+def test_incomplete_commands_end_before_they_start(argv):
+    with pytest.raises(SystemExit):
+        jobs.parsed(argv)
 
 
 def test_jobs_end_to_end(spark, sf_dir, tmp_path):
@@ -211,7 +225,7 @@ def test_jobs_end_to_end(spark, sf_dir, tmp_path):
     write_delimited(views.stores_export(spark, sf_dir), path["stores"])
 
     def run(*argv):
-        args = jobs.parser().parse_args(argv)
+        args = jobs.parsed(argv)
         args.run(spark, args)
 
     run("land-csv", "--src", path["csv"], "--dst", path["landed"])

@@ -8,7 +8,7 @@ from sales_engine.operators.cleaning import dedupe, flag_processed, impute, requ
 from sales_engine.operators.conform import to_sales, to_stores, union_channels
 from sales_engine.operators.joins import fits_broadcast, join_dimension, measured_bytes
 from sales_engine.operators.profile import mode_of, profile
-from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles
+from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles, quartiles_of_each
 from sales_engine.operators.rank import top_n_per_group, top_with_ties
 from sales_engine.schemas import CSV_SALES, CSV_SENTINELS, CSV_SPEC, STORE_MAPPING, STREAM_SALES, STREAM_SPEC, sales_mapping
 
@@ -138,30 +138,37 @@ def test_top_n_per_group(spark):
     assert top_n_per_group(df, ["g"], [F.desc("v"), F.asc("p")], 2).count() == 3
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_shuffled_join_equals_broadcast_join(spark):
     fact = spark.range(5000).select(
         F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 == 0, None).otherwise((F.col("id") % 50).cast("string"))
         .alias("k"),
         F.col("id").alias("v"),
     )
     dim = spark.createDataFrame([("hot", "x"), ("hot", "y"), ("1", "z"), (None, "n"), ("99", "u")], "k string, a string")
-    small = join_dimension(fact, dim, "k", ["v"])
-    salted = join_dimension(fact, dim, "k", ["v"], limit=-1)
-    assert rows_of(small) == rows_of(salted)
-    assert salted.columns == ["k", "v", "a"]
+    small = join_dimension(fact, dim, "k")
+    shuffled = join_dimension(fact, dim, "k", limit=-1)
+    assert rows_of(small) == rows_of(shuffled)
+    assert shuffled.columns == ["k", "v", "a"]
 
 
-def test_copies_of_one_row_are_spread_over_the_salts(spark):
-    fact = spark.range(0, 4000, 1, 40).select(F.lit("hot").alias("k"), F.lit(1).alias("v"))
+def test_copies_of_one_row_are_spread_over_tasks(spark):
+    fact = spark.range(0, 4000, 1, 40).select(F.when(F.col("id") >= 0, "hot").alias("k"), F.lit(1).alias("v"))
     dim = spark.createDataFrame([("hot", "x")], "k string, a string")
-    joined = join_dimension(fact, dim, "k", ["v"], limit=-1)
+    joined = join_dimension(fact, dim, "k", limit=-1)
     assert joined.count() == 4000
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "64")
-    per_task = join_dimension(fact, dim, "k", ["v"], limit=-1).groupBy(F.spark_partition_id()).count()
-    assert per_task.agg(F.max("count")).first()[0] < 2000
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    small = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    }
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        per_task = join_dimension(fact, dim, "k", limit=-1).groupBy(F.spark_partition_id()).count()
+        assert per_task.agg(F.max("count")).first()[0] < 2000
+    finally:
+        for key in small:
+            spark.conf.unset(key)
 
 
 def test_measured_bytes(spark):
@@ -209,3 +216,24 @@ def test_exact_quartiles_of_tiny_values_next_to_larger_ones(spark):
     df = spark.createDataFrame(rows, "x double")
     expected = tuple(values[-(-p * len(values) // 4) - 1] for p in (1, 3))
     assert tuple(quartiles(df, F.col("x"), "exact").first()) == expected
+
+
+def test_quartiles_of_several_columns_at_once(spark):
+    r = random.Random(5)
+    rows = [(r.uniform(0, 9), r.choice([None, 1.0, 2.0]), None) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    found = {row.measure: (row.q1, row.q3) for row in quartiles_of_each(df, {c: F.col(c) for c in "abc"}).collect()}
+    assert found == {c: tuple(at_rank(v, p) for p in (0.25, 0.75)) for c, v in zip("abc", zip(*rows, strict=True), strict=True)}
+    assert quartiles_of_each(df.limit(0), {"a": F.col("a")}).collect() == [("a", None, None)]
+
+
+def test_last_pass_of_exact_quartiles_sees_few_values(spark):
+    """400,000 different values far below the largest one: the slices the quartiles lie in hold a handful of them."""
+    from sales_engine.operators.quartiles import _band, _slice
+
+    df = spark.range(400_000).select((F.col("id") * 2.5e-14 + 1e-28).alias("x")).unionAll(spark.sql("select 1e-4d"))
+    values = df.withColumn("band", _band(F.col("x")))
+    ends = values.groupBy("band").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    per_slice = values.join(ends, "band").groupBy("band", _slice(F.col("x"))).count()
+    assert per_slice.agg(F.max("count")).first()[0] <= 4
+    assert tuple(quartiles(df, F.col("x")).first()) == (100_000 * 2.5e-14 + 1e-28, 300_000 * 2.5e-14 + 1e-28)

@@ -1,10 +1,12 @@
 """What the physical plans must and must not do."""
 
 import re
+from pathlib import Path
 
 import pytest
 
 from checks import catalog, views
+from sales_engine.operators.joins import join_dimension
 from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales
 from sales_engine.schemas import STREAM_SPEC
@@ -67,3 +69,15 @@ def test_no_python_in_the_plan(spark, sf_dir, name):
     df = catalog.QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|MapInPandas|FlatMapGroups|BatchEval", plan)
+
+
+@pytest.mark.parametrize("limit", [64 << 20, -1])
+def test_filters_reach_the_fact_scan_on_both_branches(spark, sf_dir, limit):
+    joined = join_dimension(*catalog._tables(spark, sf_dir), "store_ID", limit)
+    plan = plan_of(joined.where("revenue > 10"))
+    assert re.search(r"PushedFilters: \[[^\]]*IsNotNull\(store_ID\)[^\]]*GreaterThan\(revenue,10.0\)|PushedFilters: \[[^\]]*GreaterThan\(revenue,10.0\)[^\]]*IsNotNull\(store_ID\)", plan)
+
+
+def test_build_leaves_only_its_tables(spark, sf_dir):
+    catalog._tables(spark, sf_dir)
+    assert {p.name for p in Path(list(catalog._built.values())[-1]).iterdir()} == {"sales", "stores"}
