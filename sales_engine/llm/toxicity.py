@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import xxhash
@@ -28,8 +28,11 @@ CLEAN, LEAST_TEXTS, LEAST_SHARE = 0.95, 6, 0.01
 MOST_TERMS = 500
 #: A longer beginning stands for a shorter one if it has this share of its texts.
 SAME = 0.95
-#: Letters of words that texts rarely share by chance.
-RARE = 8
+#: Near copies share of all their words, and of all their runs of three words, at least so much.
+SAME_WORDS, SAME_RUNS = 0.8, 0.4
+#: Texts are compared if so many of the least hashes of their runs are equal: near copies are missed once in 50,000.
+HASHES, LEAST_VOTES = 32, 3
+_ODD = np.random.default_rng(8).integers(0, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 SHORTEST, LONGEST = 3, 8
 #: Letters a term must have for one and for two errors.
 ONE_ERROR, TWO_ERRORS = 5, 9
@@ -184,33 +187,62 @@ def _forms(word: str) -> list[str]:
     return [*starts, word] if len(word) >= SHORTEST else []
 
 
-def unlike(texts: list[tuple[list[str], int]]) -> list[tuple[list[str], int]]:
-    """Texts without later near copies: those that share one of three least hashes of their long words with an earlier
-    one. A term must occur in texts that are unlike, or a copied text's every word would be one."""
-    seen: set[tuple[int, int]] = set()
-    kept = []
-    for words, label in texts:
-        long = [w.encode() for w in words if len(w) >= RARE]
-        least = {(salt, min(xxhash.xxh3_64_intdigest(w, salt) for w in long)) for salt in range(3)} if long else set()
-        if not least & seen:
-            kept.append((words, label))
-        seen |= least
-    return kept
+def _runs(words: Sequence[str]) -> np.ndarray:
+    """Hashes of the distinct runs of three words, of all words if they are fewer."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = [" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))]
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, joined), np.uint64, len(joined)))
+
+
+def _alike(one: int, other: int, both: int) -> float:
+    return both / (one + other - both)
 
 
-def learn_terms(texts: list[tuple[list[str], int]]) -> list[str]:
-    """Words and beginnings (``term*``) whose texts are toxic; ``texts`` has each text's distinct words and label.
+def grouped(texts: Iterable[tuple[Sequence[str], int]]) -> list[tuple[set[str], int]]:
+    """Distinct words and label of each text, where near copies of one label are one with the words of all.
+
+    A term must occur in texts that are unlike, or a copied text's every word would be one. A text is a near copy of
+    an earlier one if at least ``SAME_WORDS`` of the words and ``SAME_RUNS`` of the runs of three words of both are
+    the same: texts with one vocabulary share words, not runs. Least hashes of the runs only say which to compare.
+    """
+    groups: list[tuple[set[str], int]] = []
+    firsts: list[tuple[frozenset[str], np.ndarray]] = []
+    buckets: dict[tuple[int, int, int], list[int]] = {}
+    for words, label in texts:
+        own, runs = frozenset(words), _runs(words)
+        least = [(label, i, int((runs * odd).min())) for i, odd in enumerate(_ODD)] if len(runs) else []
+        votes = Counter(at for bucket in least for at in buckets.get(bucket, ()))
+        for at in sorted(at for at, many in votes.items() if many >= LEAST_VOTES):
+            first, first_runs = firsts[at]
+            if min(len(own), len(first)) < SAME_WORDS * max(len(own), len(first)):
+                continue
+            if _alike(len(own), len(first), len(own & first)) < SAME_WORDS:
+                continue
+            if _alike(len(runs), len(first_runs), len(np.intersect1d(runs, first_runs, assume_unique=True))) >= SAME_RUNS:
+                groups[at][0].update(own)
+                break
+        else:
+            for bucket in least:
+                buckets.setdefault(bucket, []).append(len(groups))
+            groups.append((set(own), label))
+            firsts.append((own, runs))
+    return groups
+
+
+def learn_terms(texts: Iterable[tuple[Sequence[str], int]]) -> list[str]:
+    """Words and beginnings (``term*``) whose texts are toxic; ``texts`` has each text's words in order and its label.
+    Every text counts, near copies of one label as one text.
 
     Of the clean beginnings of one word the shortest counts, made longer as long as it covers the same texts. Those
     of a hundredth of all toxic texts are taken, then those that cover most of the toxic texts without a term.
     """
-    texts = unlike(texts)
+    texts = grouped(texts)
     per_text = [{t for w in words for t in _forms(w)} for words, label in texts if label]
     counts = Counter(t for terms in per_text for t in terms)
     hits = {t: n for t, n in counts.items() if n >= LEAST_TEXTS}
-    misses = Counter(
-        t for words, label in texts if not label for t in {t for w in words for t in _forms(w) if t in hits}
-    )
+    of_word = {w: [t for t in _forms(w) if t in hits] for w in {w for words, label in texts if not label for w in words}}
+    misses = Counter(t for words, label in texts if not label for t in {t for w in words for t in of_word[w]})
     clean = {t for t, n in hits.items() if n >= CLEAN * (n + misses[t])}
     longer: dict[str, str] = {}
     for term in sorted(clean, key=len):
@@ -254,8 +286,7 @@ def _trainer(batches: Iterator[Arrays]) -> Iterator[Arrays]:
     kept = []
     for column, labels in batches:
         for text, label in zip(column.to_pylist(), labels.to_pylist(), strict=True):
-            words = sorted(set(_WORD.findall(text.lower())))
-            texts.append(([names.setdefault(w, w) for w in words], label))
+            texts.append(([names.setdefault(w, w) for w in _WORD.findall(text.lower())], label))
             kept.append(text)
     terms = learn_terms(texts)
     plain = Reader(terms)

@@ -213,3 +213,41 @@ def test_packing_edge_cases(spark, docs):
     assert pack(docs.limit(0), byte_bpe()).count() == 0
     got = pack(spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string"), byte_bpe()).collect()
     assert sum(r.length for r in got) == 3
+
+
+# -- lexicon ----------------------------------------------------------------------------------------------------
+
+
+def prose(draw, vocabulary, many):
+    return [draw.choice(vocabulary) for _ in range(many)]
+
+
+def test_texts_that_share_long_words_are_no_copies():
+    draw = random.Random(11)
+    shared = [f"frequentword{i}" for i in range(60)]
+    texts = [(prose(draw, shared, 300) + ["zorg"] * (i % 4 == 0), int(i % 4 == 0)) for i in range(200)]
+    assert len(toxicity.grouped(texts)) == 200
+    assert toxicity.learn_terms(texts) == ["zorg"]
+
+
+def test_near_copies_count_once():
+    draw = random.Random(12)
+    vocabulary = [f"{draw.choice('bcdfghklmnprst')}{i:05d}" for i in range(20_000)]
+    base = prose(draw, vocabulary, 200)
+    copies = [([*base[:i], f"edit{i}", *base[i + 1 :]], 1) for i in range(40)]
+    others = [(prose(draw, vocabulary, 200), 0) for _ in range(40)]
+    toxic = [([*prose(draw, vocabulary, 200), "zorg"], 1) for _ in range(10)]
+    same_but_clean = (base, 0)
+    groups = toxicity.grouped([*copies, *others, *toxic, same_but_clean])
+    assert len(groups) == 1 + 40 + 10 + 1
+    assert {"edit0", "edit39"} <= groups[0][0], "words of every copy count"
+    assert toxicity.learn_terms([*copies, *others, *toxic]) == ["zorg"]
+
+
+def test_held_out_recall(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    rows = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out")
+    rows = rows.select("predicted", "toxic").where("toxic is not null").collect()
+    toxic = [r.predicted for r in rows if r.toxic]
+    assert len(toxic) > 50 and np.mean(toxic) >= 0.85
+    assert np.mean([r.predicted == r.toxic for r in rows]) >= 0.95
