@@ -3,7 +3,7 @@
 A byte-level BPE vocabulary gives characters per token, the share of tokens that are not whole characters, and
 the entropy of the text's tokens. A SentencePiece vocabulary with byte fallback gives characters per piece of
 the text's words and the share of pieces that are single bytes. Typical values differ by language, so each figure
-is held against a band around the median of the texts of its language and script. Medians and deviations come
+is held against a band around the median of the texts of its language and script, or of more texts if those are few. Medians and deviations come
 from exact histograms over all texts that pass the basic rules.
 """
 
@@ -45,8 +45,21 @@ BANDS = {
     "byte_share": (4096, False, True, 0.0, 0.05, 8),
     "token_entropy": (256, True, False, 0.18, 0.0, 8),
 }
-#: Texts that a language and script must have for a band of its own; smaller groups are not judged by bands.
+#: Texts that a band comes from, at least. A smaller group of a language and script is judged by the next of these
+#: that has so many: its script, its language, all texts; if all are too few, by ``FIXED``.
 LEAST_TEXTS = 100
+LEVELS = [("spoken", "script"), ("script",), ("spoken",), ()]
+#: Times the width of its own band for a group judged by the texts of others: medians of languages differ.
+WIDER = 2.0
+#: Lowest and highest values where a table has too few texts for any band, for latin script and for others. Those for
+#: latin are the extremes of four languages' texts (sf0.1) by the widths above; the others only stop byte salad.
+FIXED = {
+    "chars_per_token": ((1.6, 7.0), (0.25, 7.0)),
+    "chars_per_piece": ((1.4, 7.0), (0.25, 7.0)),
+    "broken_share": ((0.0, 0.25), (0.0, 1.0)),
+    "byte_share": ((0.0, 0.15), (0.0, 0.5)),
+    "token_entropy": ((4.0, float("inf")), (2.5, float("inf"))),
+}
 
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 FIGURES = "script string, " + ", ".join(f"{name} double" for name in BANDS)
@@ -165,17 +178,29 @@ def _broken(token: bytes) -> bool:
     return False
 
 
-def bands(measured: DataFrame, by: list[str]) -> DataFrame:
-    """``by, figure, low, high`` of each group of at least ``LEAST_TEXTS`` texts, from all of ``measured``.
+def at_levels(groups: DataFrame) -> DataFrame:
+    """Each row once a level, with the columns that the level goes by as ``by_spoken, by_script`` and the others null."""
+    none = F.lit(None).cast("string")
+    keys = [
+        F.struct(F.lit(i).alias("level"), *[(F.col(c) if c in level else none).alias(f"by_{c}") for c in LEVELS[0]])
+        for i, level in enumerate(LEVELS)
+    ]
+    return groups.withColumn("at", F.explode(F.array(*keys))).select("*", "at.*").drop("at")
+
+
+def bands(measured: DataFrame) -> DataFrame:
+    """``spoken, script, figure, low, high`` of each language and script of ``measured``, from the first of ``LEVELS``
+    with at least ``LEAST_TEXTS`` texts; none if all texts are fewer.
 
     What is grouped after the first sum are histograms: one row per group, figure and step.
     """
+    by = ["level", "by_spoken", "by_script"]
     figure = F.explode(
         F.array(*[F.struct(F.lit(n).alias("figure"), F.round(F.col(n) * b[0]).cast("bigint").alias("step")) for n, b in BANDS.items()])
     )
-    steps = written(
-        measured.select(*by, figure.alias("f")).groupBy(*by, "f.figure", "f.step").agg(F.count("*").alias("many")), "figure-steps"
-    )
+    own = measured.select("spoken", "script", figure.alias("f")).groupBy("spoken", "script", "f.figure", "f.step")
+    own = written(own.agg(F.count("*").alias("many")), "figure-steps")
+    steps = written(at_levels(own).groupBy(*by, "figure", "step").agg(F.sum("many").alias("many")), "level-steps")
     keys = [*by, "figure"]
 
     def middle(rows: DataFrame, value: str, name: str) -> DataFrame:
@@ -197,13 +222,17 @@ def bands(measured: DataFrame, by: list[str]) -> DataFrame:
         return F.element_at(F.create_map(*[x for n, b in BANDS.items() for x in (F.lit(n), F.lit(float(b[place])))]), F.col("m.figure"))
 
     unit, middle_value = of(0), F.col("median") / of(0)
-    width = F.greatest(middle_value * of(3), of(4), F.col("deviation") / unit * of(5))
+    width = F.greatest(middle_value * of(3), of(4), F.col("deviation") / unit * of(5)) * F.when(F.col("m.level") == 0, 1.0).otherwise(WIDER)
     infinite = F.lit(float("inf"))
-    return both.select(
-        *[f"m.{k}" for k in keys],
+    found = both.select(
+        *[F.col(f"m.{k}").alias(k) for k in keys],
         F.when(of(1) > 0, middle_value - width).otherwise(-infinite).alias("low"),
         F.when(of(2) > 0, middle_value + width).otherwise(infinite).alias("high"),
     )
+    groups = at_levels(own.select("spoken", "script").distinct())
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"l.{k}")) for k in by]
+    first = groups.alias("g").join(found.alias("l"), same).groupBy("spoken", "script", "figure")
+    return first.agg(F.min_by(F.struct("low", "high"), "l.level").alias("limit")).select("spoken", "script", "figure", "limit.*")
 
 
 def judge_fertility(
@@ -213,8 +242,8 @@ def judge_fertility(
 
     Words are runs without ASCII white space. ``base_failed``: under 50 words, or over half of the words in three-word
     windows that the text repeats. ``kept``: not that, and every figure within the band of the text's ``language``
-    column (if one is named) and script. Groups of fewer than ``LEAST_TEXTS`` texts have no band and are kept. A null
-    or wordless text fails the basic rules; its figures are null. The given columns go through a table in between,
+    column (if one is named) and script; of groups of fewer than ``LEAST_TEXTS`` texts, that of the script, the language
+    or all texts, ``WIDER``, or else ``FIXED``. A null or wordless text fails the basic rules; its figures are null. The given columns go through a table in between,
     without ``text``, which the result leaves out. An empty table gives an empty result.
     """
     result = [f.split()[0] for f in f"{BASE}, {FIGURES}".split(", ")]
@@ -228,15 +257,19 @@ def judge_fertility(
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     spoken = F.lit(None).cast("string") if language is None else F.col(f"c{others.index(language)}").cast("string")
     measured = written(measured.withColumns({"base_failed": failed, "spoken": spoken}), "fertility")
-    limits = bands(measured.where("not base_failed"), ["spoken", "script"])
+    limits = bands(measured.where("not base_failed"))
     limits = limits.groupBy("spoken", "script").agg(
         F.map_from_entries(F.collect_list(F.struct("figure", F.struct("low", "high")))).alias("limits")
     )
     limits = written(limits, "bands")
     inside = F.lit(True)
-    for name in BANDS:
+    for name, (latin, other) in FIXED.items():
         limit = F.col("limits").getItem(name)
-        inside = inside & F.coalesce(F.col(name).between(limit["low"], limit["high"]), F.lit(True))
+        low, high = (
+            F.coalesce(limit[end], F.when(F.col("m.script") == "latin", latin[i]).otherwise(other[i]))
+            for i, end in enumerate(("low", "high"))
+        )
+        inside = inside & F.coalesce(F.col(name).between(low, high), F.lit(False))
     m, b = measured.alias("m"), limits.alias("b")
     joined = m.join(b, F.col("m.spoken").eqNullSafe(F.col("b.spoken")) & (F.col("m.script") == F.col("b.script")), "left")
     return joined.select(

@@ -69,6 +69,31 @@ def test_a_band_rejects_what_is_unlike_its_language(spark):
     assert sum(got[i].kept for i, _ in rows) >= 149
 
 
+def test_groups_of_one_are_judged(spark):
+    draw = random.Random(6)
+    plain = "the of and to in that with house water people number sound".split()
+    prose = lambda: " ".join(draw.choice(plain) + str(draw.randrange(9)) for _ in range(200))
+    odd = " ".join("".join(draw.choice("qxzjkvw") for _ in range(9)) for _ in range(200))
+    han = " ".join("".join(chr(draw.randrange(0x4E00, 0x9FA0)) for _ in range(4)) for _ in range(200))
+    rows = [(i, prose(), "en") for i in range(120)]
+    rows += [(900, prose(), "xx"), (901, prose(), None), (902, odd, "yy"), (903, odd, None), (904, han, "en"), (905, han, "zz")]
+
+    def kept(some):
+        table = spark.createDataFrame(some, "doc_id long, text string, lang string")
+        got = judge_fertility(table, byte_bpe(), pieces_model(), language="lang").collect()
+        assert len(got) == len(some) and not any(r.base_failed for r in got)
+        return {r.doc_id for r in got if r.kept}
+
+    assert {900, 901} <= kept(rows) and not {902, 903, 904, 905} & kept(rows)
+    assert kept(rows[:1]) == {0} and kept(rows[-4:-3]) == set()
+
+
+def test_few_texts_of_a_language_are_kept_as_many_are(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    rows = judge_fertility(docs, byte_bpe(), pieces_model(), language="lang").where("not base_failed").collect()
+    assert np.mean([r.kept for r in rows]) >= 0.98
+
+
 def test_fertility_edge_cases(docs):
     assert judge_fertility(docs.limit(0), byte_bpe(), pieces_model()).count() == 0
     clash = docs.withColumn("script", F.lit(1)).withColumn("Kept", F.lit(1))
