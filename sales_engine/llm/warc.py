@@ -187,7 +187,12 @@ def _ranges(sizes: DataFrame, shard_bytes: int) -> list[int]:
             .agg(F.sum("bytes").alias("bytes"))
             .collect()
         )
-        heavy = [(r.start, r.start + width) for r in rows if r.bytes > shard_bytes and width > 1]
+        # In order, as the next round's lookup needs them, and within the range they came from.
+        heavy = sorted(
+            (r.start, min(r.start + width, heavy[bisect_right(starts, r.start) - 1][1]))
+            for r in rows
+            if r.bytes > shard_bytes and width > 1
+        )
         taken = {a for a, _ in heavy}
         sums += [(r.start, r.bytes) for r in rows if r.start not in taken]
     bounds, filled = [], 0

@@ -4,12 +4,14 @@ import base64
 import hashlib
 import random
 import uuid
+from bisect import bisect_right
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from sales_engine.llm.url_rules import judge_urls
-from sales_engine.llm.warc import read_warc, write_warc
+from sales_engine.llm.warc import _ranges, read_warc, write_warc
 from sales_engine.session import scratch_dir
 
 PAGES = [(1, "http://a/", "x" * 900), (2, "http://b/", "x" * 900), (3, None, None), (4, "u", ""), (None, "v", "x" * 900), (5, "a\nb", "é"), (5, "a\nb", "é"), (None, None, "own")]
@@ -51,6 +53,15 @@ def test_archives_are_the_same_again(spark, sf_dir):
     assert sums[0] == sums[1] and len(sums[0]) > 5
 
 
+def test_heavy_clusters_far_apart_are_split(spark):
+    keys = [cluster * 10**9 + i for cluster in range(8) for i in range(50)]
+    sizes = spark.createDataFrame([(k, 100) for k in keys], "key long, bytes long").repartition(7)
+    bounds = _ranges(sizes, 1000)
+    shards = Counter(bisect_right(bounds, k) for k in keys)
+    assert bounds == sorted(set(bounds)) and max(shards.values()) * 100 <= 1000
+    assert bounds == _ranges(sizes.repartition(3, F.col("key") % 5), 1000)
+
+
 def test_an_empty_table_writes_an_empty_manifest(spark):
     dst = scratch_dir(spark, "warc-test")
     assert write_warc(spark.createDataFrame([], "page_id long, url string, html string"), dst).count() == 0
