@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sales_engine.llm import quality, toxicity
+from sales_engine.llm.contamination import mark_contaminated
 from sales_engine.llm.exact import with_copies
 from sales_engine.llm.fertility import judge_fertility
+from sales_engine.llm.importance import resample
 from sales_engine.llm.packing import pack
 from sales_engine.llm.repeats import remove_repeats
 from sales_engine.llm.sampling import round_trip
@@ -90,6 +92,14 @@ def op10_interval_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mark_contaminated(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry_text=False)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry_text=False)
+
+
 QUERIES: dict[str, Query] = {
     "op1_fertility": op1_fertility,
     "op2_prefix_free_dedup": op2_prefix_free_dedup,
@@ -101,6 +111,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_interval_url_rules": op10_interval_url_rules,
+    "op11_window_decontamination": op11_window_decontamination,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 SQL: dict[str, str] = {
@@ -150,4 +162,66 @@ SQL: dict[str, str] = {
         SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
         FROM parts p LEFT JOIN fits f ON f.place = 1 AND f.page_id IS NOT DISTINCT FROM p.page_id
             AND f.host = p.host AND f.path = p.path""",
+    "op11_window_decontamination": r"""
+        WITH split AS (
+            SELECT doc_id, row_number() OVER () AS r, list_filter(string_split(regexp_replace(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+                lambda x: x <> '') AS w FROM documents),
+        items AS (
+            SELECT item_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+                lambda x: x <> '') AS w FROM benchmark),
+        starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM items WHERE len(w) > 0),
+        windows AS (
+            SELECT DISTINCT item_id, array_to_string(w[p:p + 9], ' ') AS gram, least(len(w), 10) AS n FROM starts),
+        sizes AS (SELECT DISTINCT n FROM windows),
+        places AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM split),
+        hits AS (
+            SELECT r, p, n, item_id FROM (
+                SELECT r, p, n, array_to_string(w[p:p + n - 1], ' ') AS gram FROM places, sizes WHERE p + n - 1 <= len(w))
+            JOIN windows USING (gram, n)),
+        hit_words AS (
+            SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS place FROM hits) GROUP BY r),
+        hit_items AS (
+            SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM split LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+    "op13_importance_resampling": r"""
+        WITH texts AS (
+            SELECT true AS wanted, 0 AS doc_id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
+        split AS (
+            SELECT wanted, doc_id, row_number() OVER () AS r, list_filter(string_split(regexp_replace(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '),
+                lambda x: x <> '') AS w FROM texts),
+        runs AS (
+            SELECT wanted, r, array_to_string(w[p:p + n - 1], ' ') AS feature
+            FROM (SELECT wanted, r, w, unnest(range(1, len(w) + 1)) AS p FROM split), (SELECT unnest([1, 2, 3]) AS n)
+            WHERE p + n - 1 <= len(w)),
+        bits AS (SELECT feature, CAST(encode(feature) AS BIT) AS b FROM (SELECT DISTINCT feature FROM runs)),
+        crc AS (
+            SELECT feature, xor(4294967295, list_reduce(
+                list_transform(range(0, bit_length(b)), lambda i: CAST(get_bit(b, CAST(i - i % 8 + 7 - i % 8 AS INT)) AS BIGINT)),
+                lambda c, bit: xor(c >> 1, 3988292384 * (xor(c, bit) & 1)), CAST(4294967295 AS BIGINT))) % 10000 AS bucket
+            FROM bits),
+        found AS (SELECT wanted, r, bucket FROM runs JOIN crc USING (feature)),
+        counts AS (
+            SELECT b.bucket, count(*) FILTER (NOT wanted) AS s, count(*) FILTER (wanted) AS t
+            FROM (SELECT unnest(range(0, 10000)) AS bucket) b LEFT JOIN found f ON f.bucket = b.bucket GROUP BY b.bucket),
+        gains AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + 10000) AS DOUBLE)
+                / CAST((s + 1) * (sum(t) OVER () + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM counts),
+        weights AS (
+            SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM found JOIN gains USING (bucket) GROUP BY r),
+        scored AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT)
+                    AS DOUBLE) + 0.5) / 4294967296.0))) AS BIGINT) AS score
+            FROM split LEFT JOIN weights USING (r) WHERE NOT wanted),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+                count(*) FILTER (n_words >= 20) OVER () AS many FROM scored)
+        SELECT doc_id, n_features, weight, score,
+            CASE WHEN n_words >= 20 AND place <= 5 * many // 100 THEN place END AS rank FROM ranked""",
 }
