@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sales_engine.llm import quality, toxicity
+from sales_engine.llm.collocations import collocations
 from sales_engine.llm.contamination import mark_contaminated
 from sales_engine.llm.exact import with_copies
 from sales_engine.llm.fertility import judge_fertility
@@ -96,6 +97,10 @@ def op11_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_contaminated(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry_text=False)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(texts(spark, sf_dir), table(spark, sf_dir, "benchmark"), carry_text=False)
 
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_interval_url_rules": op10_interval_url_rules,
     "op11_window_decontamination": op11_window_decontamination,
+    "op12_collocations": op12_collocations,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -188,6 +194,36 @@ SQL: dict[str, str] = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM split LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+            SELECT lang, size, array_to_string(w[p:p + size - 1], ' ') AS phrase
+            FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM split), (SELECT unnest([1, 2, 3, 4]) AS size)
+            WHERE p + size - 1 <= len(w)),
+        f AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND a >= 30),
+        cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+        parts AS (
+            SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r,
+                CAST(CAST(2000000 AS HUGEINT) * c.a // (l.a + r.a) AS BIGINT) AS score
+            FROM cuts c
+            JOIN f l ON l.lang = c.lang AND l.size = k AND l.phrase = array_to_string(w[1:k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.size = c.size - k AND r.phrase = array_to_string(w[k + 1:c.size], ' ')),
+        best AS (
+            SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_parts AS (
+            SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, a
+            FROM (SELECT *, unnest(range(1, size + 1)) AS i FROM candidates), (SELECT unnest([2, 3]) AS n)
+            WHERE n < size AND i + n - 1 <= size),
+        within AS (SELECT lang, phrase, max(a) AS m FROM inner_parts GROUP BY ALL)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+        FROM best b JOIN totals t ON t.lang = b.lang LEFT JOIN within i ON i.lang = b.lang AND i.phrase = b.phrase
+        WHERE m IS NULL OR CAST(100 AS HUGEINT) * m < CAST(80 AS HUGEINT) * a
+        QUALIFY rank <= 2000""",
     "op13_importance_resampling": r"""
         WITH texts AS (
             SELECT true AS wanted, 0 AS doc_id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
