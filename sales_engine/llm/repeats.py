@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +113,7 @@ def _cell_rows(length: int):
     return make
 
 
-def _without(length: int):
+def _without(length: int, least_words: int):
     """Text without the bytes that repeated strings cover, and its figures. A place is a first and last start."""
 
     def make():
@@ -124,21 +125,20 @@ def _without(length: int):
                     trigger, far, near = _unpacked(place)
                     covered.append((trigger - far, trigger - near + length))
                 covered += [(f["first"], f["last"] + length) for f in found or ()]
-                parts, end, runs, gone = [], 0, 0, 0
+                runs = []
                 for first, last in sorted(covered):
-                    if first > end or not runs:
-                        parts.append(text[end:first])
-                        runs += 1
-                        gone += last - first
-                        end = last
-                    elif last > end:
-                        gone += last - end
-                        end = last
-                parts.append(text[end:])
-                rest = b"".join(parts)
+                    if not runs or first > runs[-1][1]:
+                        runs.append([first, last])
+                    elif last > runs[-1][1]:
+                        runs[-1][1] = last
+                if least_words:
+                    runs = [(first, last) for first, last in runs if len(text[first:last].split()) >= least_words]
+                gone = sum(last - first for first, last in runs)
+                edges = [0, *chain.from_iterable(runs), len(text)]
+                rest = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
                 kept.append(rest.decode("utf-8", "ignore"))
                 removed.append(gone)
-                spans.append(runs)
+                spans.append(len(runs))
                 digests.append(hashlib.sha256(rest).hexdigest())
             return [kept, removed, spans, digests]
 
@@ -205,7 +205,12 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 400, keep_text: bool = True
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    length: int = 400,
+    keep_text: bool = True,
+    least_words: int = 0,
 ) -> DataFrame:
     """``docs`` without any byte that a string of ``length`` bytes covers which also starts elsewhere.
 
@@ -215,7 +220,7 @@ def remove_repeats(
     apart are dropped from it (not from the digest). With ``keep_text=False`` the text may be null in the result,
     which saves room. A null text counts as empty and becomes empty. Rows may share a ``key`` or have none; equal
     rows repeat each other. An empty table gives an empty result. Columns of ``docs`` named like an added one are
-    replaced.
+    replaced. With ``least_words`` a maximal run of fewer words (parted by blanks; the ends of cut ones count) stays.
     """
     if length < REACH + 2 * CELL:
         raise ValueError(f"length must be at least {REACH + 2 * CELL}")
@@ -268,7 +273,7 @@ def remove_repeats(
         dirty.join(found, ["k1", "k2"], "left").select("row", "n_bytes", "text", "sure", "found"),
         ["text", "sure", "found"],
         "text string, n_removed bigint, n_spans bigint, kept_sha256 string",
-        _without(length),
+        _without(length, least_words),
     )
     zero = F.lit(0).cast("bigint")
     untouched = staged.where("sure is null").select(
