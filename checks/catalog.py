@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from sales_engine.functions.numbers import to_number
 from sales_engine.operators.cleaning import cast_types, dedupe, flag_processed, impute, require
 from sales_engine.operators.conform import enrich, to_sales
 from sales_engine.operators.joins import join_dimension
-from sales_engine.operators.profile import mode_of, profile
+from sales_engine.operators.profile import mode_by_candidates, mode_of, profile
 from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles, quartiles_of_each
 from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales, clean_stores, cut_outliers, prepare_sales
@@ -23,7 +24,11 @@ from sales_engine.plans.pipeline import build_tables, read_sales, read_stores
 from sales_engine.schemas import CSV_SALES, CSV_SPEC, DB_SPEC, STREAM_SALES, STREAM_SPEC, CleanSpec, sales_mapping
 from sales_engine.session import scratch_dir
 from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, write_delimited, write_json
-from sales_engine.streaming.sales_stream import decode, read_landed, read_stream, run_until, start_landing
+from sales_engine.sources.batches import compact_new, read_compacted
+from sales_engine.sources.storage import Storage
+from sales_engine.streaming.sales_stream import (
+    Landing, ProgressLog, decode, land_range, missing_offsets, read_landed, read_stream, run_until, start_landing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +41,7 @@ _built: dict[tuple, str] = {}
 def _listing(spark: SparkSession, sf_dir: str) -> tuple:
     """Path, size and time of every input file the report tables are built from."""
     tables = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "orders", "events", "customer", "nation", "supplier")]
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(tables)
-    return tuple(sorted(map(tuple, files.select("path", "length", "modificationTime").collect())))
+    return tuple(entry for table in tables for entry in Storage(spark, table).files())
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -107,6 +111,75 @@ def stream_land_compact_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(read_json(spark, compacted, STREAM_SALES), STREAM_SPEC)
 
 
+def stream_stop_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing on a clock: full batches, one without rows, a stop in the midst that lets its batch end, and the rest.
+
+    Raises where the stop broke a batch off, the empty batch wrote something, or nothing was left for the second run.
+    """
+    topic, landed, offsets = (scratch_dir(spark, name) for name in ("topic", "landed", "offsets"))
+    messages = views.messages(spark, sf_dir)
+    shares = messages.randomSplit([1.0] * 6, seed=7)
+    for share in shares[:2]:
+        share.coalesce(1).write.mode("append").text(topic)
+    Storage(spark, topic).put_new("empty.txt", "")
+    for share in shares[2:]:
+        share.coalesce(1).write.mode("append").text(topic)
+    stream = decode(read_stream(spark, "text", {"maxFilesPerTrigger": "1"}, topic))
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        landing = Landing(stream, landed, offsets, "200 milliseconds")
+        until = time.monotonic() + 120
+        while (landing.committed() or 0) < 3 and landing.query.isActive and time.monotonic() < until:
+            time.sleep(0.05)
+        last = landing.stop()
+        if last is None or landing.failure():
+            raise RuntimeError(f"the landing ended by itself after batch {last}: {landing.failure()}")
+        written = Storage(spark, landed).folders("run=*/batch_id=*")
+        begun = max(int(folder.rsplit("=", 1)[1]) for folder in written)
+        if begun > last:
+            raise RuntimeError(f"batch {begun} was begun, batch {last} committed")
+        if not last + 1 > len(written):
+            raise RuntimeError("the batch without rows wrote a folder")
+        if last > 5:
+            raise RuntimeError("no batch was left after the stop")
+    finally:
+        spark.streams.removeListener(log)
+    run_until(start_landing(stream, landed, offsets, available_now=True))
+    return read_landed(spark, landed)
+
+
+def compact_new_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that land between two compactions; the second takes only these, a third none."""
+    landed, compacted = _land(spark, sf_dir), scratch_dir(spark, "compacted")
+    rows = read_landed(spark, landed)
+    first = compact_new(spark, landed, compacted, STREAM_SALES)
+    write_json(rows, f"{landed}/run=later/batch_id=0")
+    second = compact_new(spark, landed, compacted, STREAM_SALES)
+    if second != {"later": [0]} or compact_new(spark, landed, compacted, STREAM_SALES) or not first:
+        raise RuntimeError(f"taken first {first}, then {second}")
+    return read_compacted(spark, compacted, STREAM_SALES)
+
+
+def repair_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which a landing lacks two stretches: what is missing is found, read again and landed once."""
+    events = F.monotonically_increasing_id()
+    positioned = views.messages(spark, sf_dir).withColumn("offset", events).withColumn("partition", F.lit(0))
+    stored, landed = scratch_dir(spark, "topic"), scratch_dir(spark, "landed")
+    positioned.withColumn("partition", F.shiftright("offset", 33).cast("int")).withColumn(
+        "offset", F.col("offset").bitwiseAND((1 << 33) - 1)
+    ).write.parquet(stored)
+    topic = spark.read.parquet(stored)
+    ends = {r["partition"]: r.end for r in topic.groupBy("partition").agg((F.max("offset") + 1).alias("end")).collect()}
+    there = topic.where("offset % 1000 < 700 OR offset % 1000 > 710")
+    land_range(there, landed, "first")
+    for _ in range(2):
+        gaps = F.broadcast(missing_offsets(there, dict.fromkeys(ends, 0), ends).withColumnRenamed("partition", "of"))
+        again = topic.join(gaps, (topic["partition"] == gaps["of"]) & topic["offset"].between(gaps["first"], gaps["last"]))
+        land_range(again.select("value"), landed, "repair")
+    return read_landed(spark, landed)
+
+
 def decode_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole messages, and the same messages cut off before their last character."""
     whole = views.messages(spark, sf_dir)
@@ -183,11 +256,17 @@ def assign_continent(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "land_csv_roundtrip": land_csv_roundtrip,
     "compact_json": compact_json,
+    "compact_new_batches": compact_new_batches,
     "decode_json_events": decode_json_events,
+    "stream_stop_restart": stream_stop_restart,
+    "repair_gap": repair_gap,
     "stream_land_sales": stream_land_sales,
     "stream_land_compact_clean": stream_land_compact_clean,
     "mode_date": _on_csv(lambda df: mode_of(df, CSV_SPEC.date, CSV_SPEC.sentinels)),
-    "mode_timestamp": _on_stream(lambda df: mode_of(df, STREAM_SPEC.date, STREAM_SPEC.sentinels)),
+    "mode_timestamp": _on_stream(lambda df: mode_by_candidates(df, STREAM_SPEC.date, STREAM_SPEC.sentinels)),
+    "mode_store": _on_stream(
+        lambda df: mode_by_candidates(df.select(F.col("store_id").cast("string")), "store_id", STREAM_SPEC.sentinels)
+    ),
     "profile_means": _on_csv(lambda df: profile(df, CSV_SPEC).select("mean_quantity", "mean_revenue")),
     "profile_stream": _on_stream(lambda df: profile(df, STREAM_SPEC)),
     "flag_processed": _on_csv(lambda df: flag_processed(df, CSV_SPEC)),

@@ -198,6 +198,9 @@ _CSV_NULLED = ", ".join(
 QUERIES = {
     "land_csv_roundtrip": f"SELECT {_CSV_NULLED} FROM f_csv",
     "compact_json": "SELECT * FROM f_stream",
+    "compact_new_batches": "SELECT * FROM f_stream UNION ALL SELECT * FROM f_stream",
+    "stream_stop_restart": "SELECT * FROM f_stream",
+    "repair_gap": "SELECT * FROM f_stream",
     "decode_json_events": """
         SELECT * FROM f_stream
         UNION ALL
@@ -206,6 +209,9 @@ QUERIES = {
     "stream_land_compact_clean": "SELECT * FROM stream_clean",
     "mode_date": "SELECT * FROM csv_mode",
     "mode_timestamp": "SELECT * FROM stream_mode",
+    "mode_store": """
+        SELECT CAST(store_id AS VARCHAR) AS store_id, count(*) AS n FROM f_stream WHERE store_id IS NOT NULL
+        GROUP BY ALL ORDER BY n DESC, CAST(store_id AS VARCHAR) LIMIT 1""",
     "profile_means": "SELECT mean_quantity, mean_revenue FROM csv_profile",
     "profile_stream": "SELECT * FROM stream_profile",
     "flag_processed": "SELECT * FROM csv_flagged",

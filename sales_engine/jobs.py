@@ -8,6 +8,7 @@ the environment (``OBJECT_STORE_KEY``, ``OBJECT_STORE_SECRET``, ``JDBC_PASSWORD`
 from __future__ import annotations
 
 import argparse
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +19,12 @@ from sales_engine.plans import reports
 from sales_engine.plans.clean_jobs import clean_sales, clean_stores
 from sales_engine.plans.pipeline import build_tables, read_sales, read_stores
 from sales_engine.session import build_session, checkpointed, delete, object_store_conf, scratch_dir, sized_for
+from sales_engine.sources.batches import compact_new
 from sales_engine.sources.files import compact, land_csv, read_delimited, read_json, stored_bytes, write_delimited
-from sales_engine.sources.jdbc import connection, read_jdbc, snapshot_table, write_jdbc
-from sales_engine.streaming.sales_stream import decode, read_stream, run_until, start_landing, topic_options
+from sales_engine.sources.jdbc import connection, load_jdbc, read_jdbc, snapshot_table, write_jdbc, write_snapshot
+from sales_engine.streaming.sales_stream import (
+    decode, land_range, read_range, read_stream, run_until, start_landing, topic_options, topic_range_options,
+)
 
 CHANNELS = {"csv": schemas.CSV_SPEC, "stream": schemas.STREAM_SPEC, "db": schemas.DB_SPEC}
 
@@ -67,6 +71,16 @@ def _land_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     run_until(start_landing(decode(messages), args.dst, args.checkpoint, args.interval))
 
 
+def _land_range(spark: SparkSession, args: argparse.Namespace) -> None:
+    start, end = ({int(p): n for p, n in json.loads(text).items()} for text in (args.start, args.end))
+    options = topic_range_options(args.servers, start, end, args.topic, args.min_partitions)
+    land_range(read_range(spark, "kafka", options), args.dst, args.name)
+
+
+def _compact_new(spark: SparkSession, args: argparse.Namespace) -> None:
+    compact_new(spark, args.src, args.dst, schemas.STREAM_SALES, args.file_mb << 20)
+
+
 def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
     compact(
         spark, args.src, args.dst, schemas.STREAM_SALES, args.file_mb << 20, args.files, drop=("run", "batch_id")
@@ -81,7 +95,10 @@ def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
             cleaned = clean_sales(raw, CHANNELS[args.channel], args.quartiles, staging=staging)
             if args.url:
                 # the few connections of the load must not narrow the cleaning itself
-                write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
+                if args.once:
+                    load_jdbc(checkpointed(cleaned), _jdbc(args), args.table, replace=args.mode == "overwrite")
+                else:
+                    write_jdbc(checkpointed(cleaned), _jdbc(args), args.table, args.mode)
             else:
                 write_delimited(cleaned, args.dst)
     finally:
@@ -97,8 +114,13 @@ def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _snapshot_stores(spark: SparkSession, args: argparse.Namespace) -> None:
-    stores = read_jdbc(spark, _jdbc(args), args.table, args.partition_column, args.partitions)
-    write_delimited(stores.withColumnRenamed("store_id", "store_code"), args.dst)
+    stores = read_jdbc(
+        spark, _jdbc(args), args.table, args.partition_column, args.partitions, by_quantiles=args.by_quantiles
+    ).withColumnRenamed("store_id", "store_code")
+    if args.versions:
+        write_snapshot(stores, args.dst, args.versions)
+    else:
+        write_delimited(stores, args.dst)
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -159,6 +181,11 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--interval", default="5 seconds")
     stream.add_argument("--max-offsets", type=int)
     stream.add_argument("--min-partitions", type=int)
+    repair = job("land-range", _land_range, "servers", "dst", "name", "start", "end")
+    repair.add_argument("--topic", default="sales_stream")
+    repair.add_argument("--min-partitions", type=int)
+    added = job("compact-new", _compact_new, "src", "dst")
+    added.add_argument("--file-mb", type=int, default=256)
     small = job("compact", _compact, "src", "dst")
     small.add_argument("--file-mb", type=int, default=256)
     small.add_argument("--files", type=int)
@@ -167,6 +194,7 @@ def parser() -> argparse.ArgumentParser:
     clean.add_argument("--dst")
     clean.add_argument("--mode", default="errorifexists")
     clean.add_argument("--quartiles", default="exact", choices=["exact", "approx"])
+    clean.add_argument("--once", action="store_true", help="stage the rows and move each once into an existing table")
     database(clean, required=False)
     job("clean-stores", _clean_stores, "src", "dst")
     for name, run in (("snapshot", _snapshot), ("snapshot-stores", _snapshot_stores)):
@@ -174,6 +202,9 @@ def parser() -> argparse.ArgumentParser:
         database(export, required=True)
         export.add_argument("--partition-column")
         export.add_argument("--partitions", type=int, default=16)
+        if name == "snapshot-stores":
+            export.add_argument("--by-quantiles", action="store_true")
+            export.add_argument("--versions", type=int, default=0, help="keep so many snapshots and point readers to the last")
     build = job("build", _build, "stores", "dst")
     build.add_argument("--quartiles", default="exact", choices=["exact", "approx"])
     report = job("report", _report)

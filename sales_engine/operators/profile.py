@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sales_engine.functions.numbers import below_large, exact_sum, large_sum, to_number
 from sales_engine.functions.validity import is_invalid
+from sales_engine.operators.sketches import heavy_items
 from sales_engine.schemas import CleanSpec
 
 
@@ -25,6 +26,24 @@ def mode_of(df: DataFrame, column: str, sentinels: tuple[str, ...]) -> DataFrame
     )
 
 
+def mode_by_candidates(df: DataFrame, column: str, sentinels: tuple[str, ...], items: int = 3072) -> DataFrame:
+    """``mode_of`` for a key that is nearly unique but for few values: exact, without shuffling every key.
+
+    Sketches in each task name the candidates, a second scan counts these alone, and if the commonest occurs more
+    often than a value without a name could, it is the mode. Otherwise all keys are counted as ``mode_of`` does; as the
+    answer reaches that branch as a broadcast without rows where it isn't needed, adaptive execution drops its scan.
+    """
+    valid = df.where(~is_invalid(F.col(column), sentinels)).select(column)
+    count, top = F.count(F.lit(1)).alias("n"), [F.desc("n"), F.asc(column)]
+    named = heavy_items(valid, column, items).select(F.explode("found").alias("candidate"), "least")
+    # candidates are a bounded list; of each, a task sends one row
+    counted = valid.join(F.broadcast(named), F.col(column) == F.col("candidate")).groupBy(column).agg(count, F.max("least").alias("least"))
+    sure = counted.orderBy(*top).limit(1).where("n > least").select(column, "n")
+    unsure = df.sparkSession.range(1).select(F.lit(True).alias("unsure")).join(F.broadcast(sure), F.lit(True), "left_anti")
+    all_keys = valid.join(F.broadcast(unsure), F.lit(True)).groupBy(column).agg(count).orderBy(*top).limit(1)
+    return sure.unionAll(all_keys)
+
+
 def profile(df: DataFrame, spec: CleanSpec) -> DataFrame:
     """``mode_date``, ``mean_quantity`` (truncated) and ``mean_revenue`` of all raw rows, in one scan.
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sales_engine.operators.sketches import quantile_sketch, quantiles_of
+
 BANDS_PER_E_FOLD = 4096
 SLICES = 1 << 20
 
@@ -16,14 +18,14 @@ def quartiles(df: DataFrame, value: Column, method: str = "exact", accuracy: int
     Both methods return a value that occurs in the data, and the same one while
     there are few rows. ``exact`` gives the value at rank ceil(p*n) in three
     passes; no task's state grows with the number of rows or of tasks.
-    ``approx`` is Spark's ``percentile_approx``: one pass, rank error at most
-    1/accuracy, but a single task merges one sketch of every other task.
+    ``approx`` is one pass: a KLL sketch for the rows of 64 tasks at a time, merged in levels
+    of 64, of at most 1.6 MB each. Its rank error is 1/accuracy of the rows (1.04 at the default,
+    which takes the largest sketch) 99 times in 100, and its choices are random: a second run may
+    give a neighbouring value.
     """
     if method == "approx":
-        both = F.percentile_approx("x", [0.25, 0.75], accuracy)
-        return df.select(value.alias("x")).agg(both.alias("q")).select(
-            F.get("q", F.lit(0)).alias("q1"), F.get("q", F.lit(1)).alias("q3")
-        )
+        sketch = quantile_sketch(df.select(value.cast("double").alias("x")), "x", accuracy)
+        return quantiles_of(sketch, {"q1": 0.25, "q3": 0.75})
     if method == "exact":
         return _exact_quartiles(df.select(F.lit(0).alias("measure"), value.alias("x")), 1).select("q1_0", "q3_0").toDF("q1", "q3")
     raise ValueError(f"unknown quartile method: {method}")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from sales_engine.operators.cleaning import dedupe, flag_processed, impute, require, with_load_ts
 from sales_engine.operators.conform import to_sales, to_stores, union_channels
 from sales_engine.operators.joins import fits_broadcast, join_dimension, measured_bytes
-from sales_engine.operators.profile import mode_of, profile
+from sales_engine.operators.profile import mode_by_candidates, mode_of, profile
 from sales_engine.operators.quartiles import drop_outliers_iqr, quartiles, quartiles_of_each
 from sales_engine.operators.rank import top_n_per_group, top_with_ties
+from sales_engine.operators.sketches import kll_size, quantile_sketch, quantiles_of
 from sales_engine.schemas import CSV_SALES, CSV_SENTINELS, CSV_SPEC, STORE_MAPPING, STREAM_SALES, STREAM_SPEC, sales_mapping
+from tests.conftest import plan_of
 
 
 def csv(spark, *rows):
@@ -237,3 +239,45 @@ def test_last_pass_of_exact_quartiles_sees_few_values(spark):
     per_slice = values.join(ends, "band").groupBy("band", _slice(F.col("x"))).count()
     assert per_slice.agg(F.max("count")).first()[0] <= 4
     assert tuple(quartiles(df, F.col("x")).first()) == (100_000 * 2.5e-14 + 1e-28, 300_000 * 2.5e-14 + 1e-28)
+
+
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_sketches_are_merged_in_levels(spark, levels):
+    """Each level is a shuffle by a wider group of tasks; the last one merges what the top level left."""
+    values = spark.range(0, 5000, 1, 200).select(F.col("id").cast("double").alias("x"))
+    sketch = quantile_sketch(values, "x", 10000, levels)
+    plan = sketch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == levels + 1 and "percentile" not in plan
+    groups = values.select(F.shiftright(F.spark_partition_id(), 6)).distinct().count()
+    assert groups == 4  # of 200 tasks: no group holds more than 64
+    assert tuple(quantiles_of(sketch, {"q1": 0.25, "q3": 0.75}).first()) == (1249.0, 3749.0)
+
+
+def test_coarser_sketches_are_smaller_and_stay_within_their_error(spark):
+    assert [kll_size(a) for a in (1, 100, 10000)] == [200, 415, 65535]
+    n = 300_000
+    values = spark.range(0, n, 1, 20).select(((F.col("id") * 7919) % n).cast("double").alias("x"))
+    sketch = quantile_sketch(values, "x", 500)
+    assert sketch.select(F.octet_length("sketch")).first()[0] < 100_000
+    for p, x in zip((0.1, 0.5, 0.9), quantiles_of(sketch, {"a": 0.1, "b": 0.5, "c": 0.9}).first()):
+        assert abs(x - p * n) < 3 * n / 500
+
+
+SKEWED = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 97 = 0 THEN '' ELSE cast(id AS string) END AS x"
+
+
+def test_mode_by_candidates_shuffles_few_rows_of_a_skewed_key(spark, tmp_path):
+    """A third of the rows share a key, the others are unique: only candidates are counted, and the full count is dropped."""
+    spark.range(0, 200_000, 1, 8).selectExpr(SKEWED).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = mode_by_candidates(df, "x", ("",))
+    plan = plan_of(found)
+    assert plan.count("FileScan") == 2 and "LeftAnti" not in plan
+    assert found.collect() == mode_of(df, "x", ("",)).collect() == [("hot", 66667)]
+
+
+@pytest.mark.parametrize("rows", [[], [None, None, ""], ["b", "a", "a", "b", "c"], [str(i) for i in range(9000)], [str(i % 4000) for i in range(9000)]])
+def test_mode_by_candidates_is_the_mode(spark, rows):
+    df = spark.createDataFrame([(r,) for r in rows], "x string").repartition(3)
+    for items in (16, 3072):
+        assert mode_by_candidates(df, "x", ("",), items).collect() == mode_of(df, "x", ("",)).collect()
