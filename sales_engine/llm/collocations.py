@@ -34,7 +34,7 @@ from sales_engine.llm.words import Words, blocks, byte_table
 LONGEST = 4
 HELD_BYTES = 12 * 1024 * 1024
 #: Words of text a prefix range stands for: so many at least, and so many that there are at most 100,000 ranges.
-RANGE_WORDS, MOST_RANGES = 1_000_000, 100_000
+RANGE_WORDS, MOST_RANGES = 2_000_000, 100_000
 #: A bit map never has more bits (32 MB). Beyond that it lets more through, and results stay the same.
 MOST_BITS = 2**28
 BITS_A_ROW = 16

@@ -72,7 +72,7 @@ def _block(parts: list[bytes], owners: list[int], leads: list[int]) -> Words:
         coded.indices.to_numpy().astype(np.int64),
         coded.dictionary.to_pylist(),
         np.array(owners)[part],
-        np.cumsum(data == BREAK)[starts],
+        np.searchsorted(np.flatnonzero(data == BREAK), starts),
         starts - begins[part] >= np.array(leads)[part],
     )
 
