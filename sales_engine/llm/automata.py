@@ -32,7 +32,7 @@ class Grams:
         """The rows ``at``, with only their words, numbered in the same order."""
         rows = self.rows[at]
         used = np.unique(rows[rows >= 0])
-        number = np.full(len(self.words) + 1, -1, np.int64)
+        number = np.full(len(self.words) + 1, -1, np.int32)
         number[used] = np.arange(len(used))
         return Grams([self.words[i] for i in used], number[rows], self.counts[at])
 
@@ -44,8 +44,8 @@ def together(parts: list[Grams]) -> Grams:
     width = max([p.rows.shape[1] for p in parts])
     rows = []
     for p in parts:
-        names = np.array([*(number[w] for w in p.words), -1], np.int64)
-        wide = np.full((len(p.rows), width), -1, np.int64)
+        names = np.array([*(number[w] for w in p.words), -1], np.int32)
+        wide = np.full((len(p.rows), width), -1, np.int32)
         wide[:, : p.rows.shape[1]] = names[p.rows]
         rows.append(wide)
     return Grams(words, np.concatenate(rows), np.concatenate([p.counts for p in parts]))
@@ -112,11 +112,12 @@ class CountAutomaton:
             sizes.append(np.zeros(1, np.int64))
         first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         empty = np.zeros(0, np.int64)
-        return cls(words, first, *(np.concatenate(x) if x else empty for x in (labels, targets, weights)))
+        label, target, weight = (np.concatenate(x) if x else empty for x in (labels, targets, weights))
+        return cls(words, first, label.astype(np.int32), target.astype(np.int32), weight)
 
     def paths(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """N-grams of 1, 2, ... words that were counted, sorted, and their counts."""
-        state, rows = np.array([self.root]), np.zeros((1, 0), np.int64)
+        state, rows = np.array([self.root]), np.zeros((1, 0), np.int32)
         while len(state):
             many = self.first[state + 1] - self.first[state]
             arc = np.repeat(self.first[state], many) + _within(many)
@@ -183,14 +184,14 @@ class CountAutomaton:
 
         def column(kind: str, many: int) -> np.ndarray:
             nonlocal at
-            found = np.frombuffer(data, kind, many, at).astype(np.int64)
+            found = np.frombuffer(data, kind, many, at)
             at += many * int(kind[-1])
             return found
 
         states, arcs = int(head["states"]), int(head["arcs"])
-        fan, label, target, weight = column("<u4", states), column("<u4", arcs), column("<u4", arcs), column("<i8", arcs)
+        fan, label, target, weight = column("<u4", states), column("<i4", arcs), column("<i4", arcs), column("<i8", arcs)
         listed = data[at : at + int(head["words"])]
-        return cls(listed.split(b" ") if listed else [], np.concatenate([[0], np.cumsum(fan)]), label, target, weight)
+        return cls(listed.split(b" ") if listed else [], np.concatenate([[0], np.cumsum(fan, dtype=np.int64)]), label, target, weight)
 
 
 def _within(sizes: np.ndarray) -> np.ndarray:

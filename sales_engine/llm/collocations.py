@@ -32,13 +32,14 @@ from sales_engine.llm.tables import written
 from sales_engine.llm.words import Words, blocks, byte_table
 
 LONGEST = 4
-HELD_BYTES = 12 * 1024 * 1024
+HELD_BYTES = 8 * 1024 * 1024
 #: Words of text a prefix range stands for: so many at least, and so many that there are at most 100,000 ranges.
 RANGE_WORDS, MOST_RANGES = 2_000_000, 100_000
 #: A bit map never has more bits (32 MB). Beyond that it lets more through, and results stay the same.
 MOST_BITS = 2**28
 BITS_A_ROW = 16
-MERGED_ROWS = 2_000_000
+#: N-grams that wait to be summed in a task, besides as many as are already summed.
+MERGED_ROWS = 500_000
 _TABLE = byte_table(b"\t", b".,;:!?\n\x0b\x0c\r")
 
 
@@ -218,14 +219,13 @@ def _groups(batches: Iterator[Arrays]) -> Iterator[tuple[tuple[str, int], Iterat
 
 def _unions(batches: Iterator[Arrays]) -> Iterator[Arrays]:
     for (language, which), rows in _groups(batches):
-        waiting, held = [], 0
+        waiting, held, summed = [], 0, 0
         for _, _, data in rows:
-            grams = CountAutomaton.from_bytes(data).grams()
-            waiting.append(grams)
-            held += len(grams.rows)
-            if held > MERGED_ROWS and len(waiting) > 1:
+            waiting.append(CountAutomaton.from_bytes(data).grams())
+            held += len(waiting[-1].rows)
+            if held > MERGED_ROWS + 2 * summed and len(waiting) > 1:
                 waiting = [CountAutomaton.of(together(waiting)).grams()]
-                held = len(waiting[0].rows)
+                held = summed = len(waiting[0].rows)
         automaton = CountAutomaton.of(together(waiting))
         yield [[language], pa.array([which]), pa.array([automaton.to_bytes()], pa.binary())]
 
