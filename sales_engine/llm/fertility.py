@@ -3,8 +3,8 @@
 A byte-level BPE vocabulary gives characters per token, the share of tokens that are not whole characters, and
 the entropy of the text's tokens. A SentencePiece vocabulary with byte fallback gives characters per piece of
 the text's words and the share of pieces that are single bytes. Typical values differ by language, so each figure
-is held against a band around the median of the texts of its language and script, or of more texts if those are few. Medians and deviations come
-from exact histograms over all texts that pass the basic rules.
+is held against a band around the median of the texts of its language and script, as wide as these texts spread. Medians
+and deviations come from exact histograms over all texts that pass the basic rules.
 """
 
 from __future__ import annotations
@@ -36,29 +36,29 @@ SCRIPTS = [
     (0xF900, "han"), (0xFB00, "other"),
 ]
 
-#: Figure: steps of its histogram to one unit; whether it may be too low, too high; width of the band as a share
-#: of the median and as an amount, at least; times the median deviation, at least.
+#: Figure: steps of its histogram to one unit; whether it may be too low, too high; half the width that a band has at
+#: least (shares of which most texts have none have no deviation either).
 BANDS = {
-    "chars_per_token": (256, True, True, 0.16, 0.0, 8),
-    "chars_per_piece": (256, True, True, 0.16, 0.0, 8),
-    "broken_share": (4096, False, True, 0.0, 0.1, 8),
-    "byte_share": (4096, False, True, 0.0, 0.05, 8),
-    "token_entropy": (256, True, False, 0.18, 0.0, 8),
+    "chars_per_token": (256, True, True, 0.0),
+    "chars_per_piece": (256, True, True, 0.0),
+    "broken_share": (4096, False, True, 0.1),
+    "byte_share": (4096, False, True, 0.05),
+    "token_entropy": (256, True, False, 0.0),
 }
-#: Texts that a band comes from, at least. A smaller group of a language and script is judged by the next of these
-#: that has so many: its script, its language, all texts; if all are too few, by ``FIXED``.
-LEAST_TEXTS = 100
-LEVELS = [("spoken", "script"), ("script",), ("spoken",), ()]
-#: Times the width of its own band for a group judged by the texts of others: medians of languages differ.
-WIDER = 2.0
-#: Lowest and highest values where a table has too few texts for any band, for latin script and for others. Those for
-#: latin are the extremes of four languages' texts (sf0.1) by the widths above; the others only stop byte salad.
-FIXED = {
-    "chars_per_token": ((1.6, 7.0), (0.25, 7.0)),
-    "chars_per_piece": ((1.4, 7.0), (0.25, 7.0)),
-    "broken_share": ((0.0, 0.25), (0.0, 1.0)),
-    "byte_share": ((0.0, 0.15), (0.0, 0.5)),
-    "token_entropy": ((4.0, float("inf")), (2.5, float("inf"))),
+#: Half a band in median deviations: about four standard deviations of a normal figure.
+WIDTH = 6.0
+#: A group is a language and script. Its median and deviation are drawn towards those of the script, and these towards
+#: those of all texts, and these towards ``PRIOR``, as if the wider group had so many texts. So a small group has a wide band,
+#: and nothing changes at any one size.
+LEVELS = [("spoken", "script"), ("script",), ()]
+DRAWN_TEXTS = 50
+#: Median and deviation before any text is seen: about what public vocabularies reach on prose of alphabetic scripts.
+PRIOR = {
+    "chars_per_token": (4.2, 0.4),
+    "chars_per_piece": (4.0, 0.4),
+    "broken_share": (0.0, 0.04),
+    "byte_share": (0.0, 0.02),
+    "token_entropy": (6.5, 0.5),
 }
 
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
@@ -189,8 +189,7 @@ def at_levels(groups: DataFrame) -> DataFrame:
 
 
 def bands(measured: DataFrame) -> DataFrame:
-    """``spoken, script, figure, low, high`` of each language and script of ``measured``, from the first of ``LEVELS``
-    with at least ``LEAST_TEXTS`` texts; none if all texts are fewer.
+    """``spoken, script, figure, low, high`` of each language and script of ``measured``.
 
     What is grouped after the first sum are histograms: one row per group, figure and step.
     """
@@ -216,23 +215,35 @@ def bands(measured: DataFrame) -> DataFrame:
     )
     off = middle(apart, "apart", "deviation").drop("texts")
     same = [F.col(f"m.{k}").eqNullSafe(F.col(f"d.{k}")) for k in keys]
-    both = medians.alias("m").join(off.alias("d"), same).where(F.col("texts") >= LEAST_TEXTS)
+    both = medians.alias("m").join(off.alias("d"), same).select(*[F.col(f"m.{k}") for k in keys], "median", "deviation", "texts")
 
-    def of(place: int) -> Column:
-        return F.element_at(F.create_map(*[x for n, b in BANDS.items() for x in (F.lit(n), F.lit(float(b[place])))]), F.col("m.figure"))
+    groups = at_levels(own.select("spoken", "script").distinct())
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"l.{k}")) for k in by]
+    at = F.col("g.level")
+    chain = groups.alias("g").join(both.alias("l"), same).groupBy("spoken", "script", "figure").agg(
+        *[F.max(F.when(at == i, F.col(c))).alias(f"{c}{i}") for i in range(len(LEVELS)) for c in ("median", "deviation", "texts")]
+    )
 
-    unit, middle_value = of(0), F.col("median") / of(0)
-    width = F.greatest(middle_value * of(3), of(4), F.col("deviation") / unit * of(5)) * F.when(F.col("m.level") == 0, 1.0).otherwise(WIDER)
+    def of(values: dict[str, float]) -> Column:
+        return F.element_at(F.create_map(*[x for n, v in values.items() for x in (F.lit(n), F.lit(float(v)))]), F.col("figure"))
+
+    unit = of({n: b[0] for n, b in BANDS.items()})
+    drawn = {}
+    for place, name in enumerate(("median", "deviation")):
+        value = of({n: p[place] for n, p in PRIOR.items()})
+        for i in reversed(range(len(LEVELS))):
+            value = (F.col(f"texts{i}") * F.col(f"{name}{i}") / unit + DRAWN_TEXTS * value) / (F.col(f"texts{i}") + DRAWN_TEXTS)
+        drawn[name] = value
+    found = chain.select("spoken", "script", "figure", drawn["median"].alias("median"), drawn["deviation"].alias("deviation"))
+    width = F.greatest(of({n: b[3] for n, b in BANDS.items()}), F.col("deviation") * WIDTH)
     infinite = F.lit(float("inf"))
-    found = both.select(
-        *[F.col(f"m.{k}").alias(k) for k in keys],
-        F.when(of(1) > 0, middle_value - width).otherwise(-infinite).alias("low"),
-        F.when(of(2) > 0, middle_value + width).otherwise(infinite).alias("high"),
+    return found.select(
+        "spoken",
+        "script",
+        "figure",
+        F.when(of({n: b[1] for n, b in BANDS.items()}) > 0, F.col("median") - width).otherwise(-infinite).alias("low"),
+        F.when(of({n: b[2] for n, b in BANDS.items()}) > 0, F.col("median") + width).otherwise(infinite).alias("high"),
     )
-    groups = at_levels(own.select("spoken", "script").distinct())
-    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"l.{k}")) for k in by]
-    first = groups.alias("g").join(found.alias("l"), same).groupBy("spoken", "script", "figure")
-    return first.agg(F.min_by(F.struct("low", "high"), "l.level").alias("limit")).select("spoken", "script", "figure", "limit.*")
 
 
 def judge_fertility(
@@ -242,34 +253,32 @@ def judge_fertility(
 
     Words are runs without ASCII white space. ``base_failed``: under 50 words, or over half of the words in three-word
     windows that the text repeats. ``kept``: not that, and every figure within the band of the text's ``language``
-    column (if one is named) and script; of groups of fewer than ``LEAST_TEXTS`` texts, that of the script, the language
-    or all texts, ``WIDER``, or else ``FIXED``. A null or wordless text fails the basic rules; its figures are null. The given columns go through a table in between,
-    without ``text``, which the result leaves out. An empty table gives an empty result.
+    column (if one is named, and whatever it is named) and script. A null or wordless text fails the basic rules; its figures
+    are null. A null language is one of its own. The given columns go through a table in between, without ``text``, which the
+    result leaves out; columns named like a result's are replaced. An empty table gives an empty result.
     """
     result = [f.split()[0] for f in f"{BASE}, {FIGURES}".split(", ")]
     others = [c for c in docs.columns if c != text and c.lower() not in (*result, "base_failed", "kept")]
+    spoken = F.lit(None).cast("string") if language is None else quoted(language).cast("string")
     measured = append(
-        docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(others)], quoted(text).cast("string").alias("text")),
+        docs.select(
+            *[quoted(c).alias(f"c{i}") for i, c in enumerate(others)], spoken.alias("spoken"), quoted(text).cast("string").alias("text")
+        ),
         ["text"],
         f"{BASE}, {FIGURES}",
         _figures(encoder, model),
     ).drop("text")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    spoken = F.lit(None).cast("string") if language is None else F.col(f"c{others.index(language)}").cast("string")
-    measured = written(measured.withColumns({"base_failed": failed, "spoken": spoken}), "fertility")
+    measured = written(measured.withColumn("base_failed", failed), "fertility")
     limits = bands(measured.where("not base_failed"))
     limits = limits.groupBy("spoken", "script").agg(
         F.map_from_entries(F.collect_list(F.struct("figure", F.struct("low", "high")))).alias("limits")
     )
     limits = written(limits, "bands")
     inside = F.lit(True)
-    for name, (latin, other) in FIXED.items():
+    for name in BANDS:
         limit = F.col("limits").getItem(name)
-        low, high = (
-            F.coalesce(limit[end], F.when(F.col("m.script") == "latin", latin[i]).otherwise(other[i]))
-            for i, end in enumerate(("low", "high"))
-        )
-        inside = inside & F.coalesce(F.col(name).between(low, high), F.lit(False))
+        inside = inside & F.coalesce(F.col(name).between(limit["low"], limit["high"]), F.lit(False))
     m, b = measured.alias("m"), limits.alias("b")
     joined = m.join(b, F.col("m.spoken").eqNullSafe(F.col("b.spoken")) & (F.col("m.script") == F.col("b.script")), "left")
     return joined.select(

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sales_engine.llm import quality, toxicity
+from sales_engine.llm import fertility, quality, toxicity
 from sales_engine.llm.fertility import judge_fertility, script_of
 from sales_engine.llm.packing import pack
 from sales_engine.llm.sampling import Lattices, Pieces, _hash, decode, encode, round_trip
@@ -88,10 +88,79 @@ def test_groups_of_one_are_judged(spark):
     assert kept(rows[:1]) == {0} and kept(rows[-4:-3]) == set()
 
 
-def test_few_texts_of_a_language_are_kept_as_many_are(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    rows = judge_fertility(docs, byte_bpe(), pieces_model(), language="lang").where("not base_failed").collect()
-    assert np.mean([r.kept for r in rows]) >= 0.98
+def plain_verdicts(rows):
+    """The bands and verdicts of rows of (language, script, figures), by sorting."""
+    def middle(values):
+        return sorted(values)[(len(values) - 1) // 2]
+
+    limits = {}
+    for spoken, script in {r[:2] for r in rows}:
+        for i, (name, (unit, low, high, least)) in enumerate(fertility.BANDS.items()):
+            centre, spread = fertility.PRIOR[name]
+            for level in (lambda r: True, lambda r: r[1] == script, lambda r: r[:2] == (spoken, script)):
+                steps = [math.floor(r[2 + i] * unit + 0.5) for r in rows if level(r)]
+                median = middle(steps)
+                n, k = len(steps), fertility.DRAWN_TEXTS
+                centre = (n * median / unit + k * centre) / (n + k)
+                spread = (n * middle([abs(s - median) for s in steps]) / unit + k * spread) / (n + k)
+            width = max(least, spread * fertility.WIDTH)
+            limits[spoken, script, name] = (centre - width if low else -math.inf, centre + width if high else math.inf)
+    return [all(limits[r[0], r[1], n][0] <= r[2 + i] <= limits[r[0], r[1], n][1] for i, n in enumerate(fertility.BANDS)) for r in rows]
+
+
+def plain_figures(text):
+    """Tokens by the public file itself, pieces by the model itself."""
+    import sentencepiece
+
+    whole = Tokenizer.from_file(f"{folder()}/byte_bpe_50k.json")
+    encoder = byte_bpe()()
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces_model())
+    ids = whole.encode(text, add_special_tokens=False).ids
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    pieces = [p for w in words for p in model.encode(w)]
+
+    def broken(i):
+        try:
+            encoder.fast.decode_single_token_bytes(i).decode()
+        except UnicodeDecodeError:
+            return True
+        return False
+
+    share = [n / len(ids) for n in Counter(ids).values()]
+    return (
+        len(text) / len(ids), sum(map(len, words)) / len(pieces), sum(map(broken, ids)) / len(ids),
+        sum(model.is_byte(p) for p in pieces) / len(pieces), -sum(p * math.log2(p) for p in share),
+    )
+
+
+def test_figures_bands_and_verdicts_like_plain_ones(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "lang AS Script", "text AS whole")
+    more = spark.createDataFrame(EDGES, "doc_id long, text string").selectExpr("doc_id", "text", "'xx' AS Script", "text AS whole")
+    rows = judge_fertility(docs.unionAll(more), byte_bpe(), pieces_model(), language="Script").collect()
+    assert len(rows) == docs.count() + len(EDGES)
+    spoken = {r.doc_id: r.Script for r in docs.unionAll(more).collect()}
+    judged = [r for r in rows if not r.base_failed]
+    for r in judged[::9]:
+        assert np.allclose([r[n] for n in fertility.BANDS], plain_figures(r.whole), rtol=1e-9, atol=1e-12)
+    figures = [(spoken[r.doc_id], r.script, *[r[n] for n in fertility.BANDS]) for r in judged]
+    assert [r.kept for r in judged] == plain_verdicts(figures)
+    assert not any(r.kept for r in rows if r.base_failed)
+
+
+def test_bands_follow_the_spread(spark):
+    """Junk that differs by more than the prose of its language spreads is rejected; the prose stays, at any number of texts."""
+    draw = random.Random(9)
+    letters = {"xx": "etaoinshrdlu", "yy": "aeioumnlrst"}
+    lexicon = {k: ["".join(draw.choice(v) for _ in range(draw.randrange(2, 8))) for _ in range(400)] for k, v in letters.items()}
+    prose = lambda k: " ".join(draw.choice(lexicon[k]) for _ in range(draw.randrange(80, 300)))
+    junk = lambda: " ".join("".join(draw.choice("bcdfgjkqvwxz#%0123456789") for _ in range(draw.randrange(3, 9))) for _ in range(150))
+    for many in (5, 60, 101, 400):
+        rows = [(i, prose(k), k) for i, k in enumerate(["xx"] * many + ["yy"] * (many // 4))] + [(10_000 + i, junk(), "xx") for i in range(max(1, many // 20))]
+        table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        kept = {r.doc_id: r.kept for r in judge_fertility(table, byte_bpe(), pieces_model(), language="lang").collect()}
+        assert np.mean([v for k, v in kept.items() if k < 10_000]) >= 0.97
+        if many > 50:
+            assert not any(v for k, v in kept.items() if k >= 10_000)
 
 
 def test_fertility_edge_cases(docs):
