@@ -1,13 +1,14 @@
 """Hierarchical packing of tokenised documents into sequences of several lengths.
 
 A document's tokens are cut into windows of the longest tier; what is left after the last full window is routed
-to the shortest tier that holds it. Each tier is packed on its own: a rest of more than half a window gets a
-window, and the gap behind it is filled from shorter tiers, the shortest first, cut where the window ends. When
-no window is open, what waits in a tier is laid end to end. So sequences are full, up to the last of a task,
-which are cut at powers of two.
-
-A task packs the documents of its own input split, a bounded number of waiting tokens at a time; no token is
-shuffled. Sequences are numbered, and dealt to training steps, from counts per task.
+to the shortest tier that holds it. Each tier is packed on its own, the longest first: a rest gets a window, and the gap
+behind it is filled from shorter tiers with whole rests of the longest tier that surely fits, at its end with one that is cut.
+So long windows take few of the short rests, which fill windows of their own tier.
+
+A task packs the documents of its own input split, a bounded number of waiting tokens at a time. What it cannot lay into
+full windows, less than one long window, is packed with that of 1023 other tasks, and what is left of these with that of
+all other such groups: these few tokens are the only ones that are shuffled. The last sequence of all is the only one that
+may not be full. Sequences are numbered, and dealt to training steps, from counts per task.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ TIERS = (256, 512, 1024, 2048)
 END = 1
 #: Rests that may wait for a gap in a task, in tokens; then the tiers are emptied.
 WAITING = 1 << 21
+#: Tasks whose last rests are packed together, as a power of two; then as many such groups.
+TOGETHER_BITS = 10
 #: Tokens of a training step.
 STEP_TOKENS = 64 * 2048
 #: A text is tokenised in pieces of about this many characters.
@@ -95,33 +98,30 @@ class Packer:
         full = len(ids) // long * long
         for at in range(0, full, long):
             self._place([(doc, at, ids[at : at + long])], long)
-        rest = ids[full:]
-        if len(rest):
-            tier = next(t for t in self.tiers if t >= len(rest))
-            self.rests[tier].append((doc, full, rest))
-            self.waiting += len(rest)
+        if full < len(ids):
+            self.wait(doc, full, ids[full:])
+
+    def wait(self, doc: tuple, start: int, rest: np.ndarray) -> None:
+        """Route a rest to its tier."""
+        tier = next(t for t in self.tiers if t >= len(rest))
+        self.rests[tier].append((doc, start, rest))
+        self.waiting += len(rest)
 
     def _place(self, pieces: list[tuple], size: int) -> None:
         offset, sequence, number = 0, sum(self.placed.values()), self.placed.get(size, 0)
         for doc, start, ids in pieces:
-            self.out.append((*doc, start, len(ids), zlib.crc32(ids.tobytes()), sequence, number, size, offset))
+            self.out.append((*doc, start, len(ids), zlib.crc32(ids.tobytes()), sequence, number, size, offset, None))
             offset += len(ids)
         self.placed[size] = number + 1
 
-    def _take(self, tiers: Sequence[int], most: int) -> list[tuple]:
-        """Up to ``most`` tokens of the rests of these tiers, in their order; the last piece is cut to fit."""
-        got = []
-        for tier in tiers:
-            queue = self.rests[tier]
-            while queue and most:
-                doc, start, ids = queue.popleft()
-                if len(ids) > most:
-                    queue.appendleft((doc, start + most, ids[most:]))
-                    ids = ids[:most]
-                got.append((doc, start, ids))
-                most -= len(ids)
-                self.waiting -= len(ids)
-        return got
+    def _take(self, tier: int, most: int) -> tuple:
+        """The first rest of a tier, up to ``most`` tokens of it; what is cut off waits in its own tier."""
+        doc, start, ids = self.rests[tier].popleft()
+        self.waiting -= len(ids)
+        if len(ids) > most:
+            self.wait(doc, start + most, ids[most:])
+            ids = ids[:most]
+        return doc, start, ids
 
     def _room(self, tiers: Sequence[int]) -> int:
         return sum(len(ids) for t in tiers for _, _, ids in self.rests[t])
@@ -129,42 +129,95 @@ class Packer:
     def pack(self) -> None:
         """Pack each tier, the longest first, as long as its rests and the shorter ones fill a window."""
         for i, tier in reversed(list(enumerate(self.tiers))):
-            shorter = self.tiers[:i]
-            room = self._room([*shorter, tier])
+            usable = self.tiers[: i + 1]
+            room = self._room(usable)
             while self.rests[tier] and room >= tier:
-                first = self._take([tier], min(tier, len(self.rests[tier][0][2])))
-                self._place(first + self._take([*shorter, tier], tier - len(first[0][2])), tier)
+                window = [self._take(tier, tier)]
+                gap = tier - len(window[0][2])
+                while gap:
+                    there = [t for t in usable if self.rests[t]]
+                    fits = [t for t in there if t <= gap]
+                    window.append(self._take(fits[-1] if fits else there[0], gap))
+                    gap -= len(window[-1][2])
+                self._place(window, tier)
                 room -= tier
 
+    def leave(self) -> None:
+        """Pack, and give out what then waits, less than a long window, as rests without a sequence."""
+        self.pack()
+        for tier in self.tiers:
+            for doc, start, ids in self.rests[tier]:
+                self.out.append((*doc, start, len(ids), 0, 0, 0, 0, 0, ids.tobytes()))
+            self.rests[tier].clear()
+        self.waiting = 0
+
     def close(self) -> None:
-        """Empty all tiers; the last sequences are cut at powers of two, so that nothing is padded."""
+        """Empty all tiers, the longest windows first; only the very last sequence may not be full."""
         self.pack()
-        left = self._room(self.tiers)
-        while left:
-            size = min(self.tiers[-1], 1 << left.bit_length() - 1)
-            self._place(self._take(self.tiers, size), size)
-            left -= size
+        for size in reversed(self.tiers):
+            while self.waiting >= size:
+                self._place(self._laid_out(size), size)
+        if self.waiting:
+            self._place(self._laid_out(self.waiting), self.tiers[0])
+
+    def _laid_out(self, many: int) -> list[tuple]:
+        """So many tokens of the rests, end to end, the longest first."""
+        got = []
+        while many:
+            got.append(self._take(next(t for t in reversed(self.tiers) if self.rests[t]), many))
+            many -= len(got[-1][2])
+        return got
+
+
+_COLUMNS = (
+    "task bigint, doc {kind}, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint, sequence bigint, "
+    "number bigint, tier bigint, offset bigint, rest binary"
+)
+
+
+def _rows(packer: Packer, task: int) -> Arrays:
+    taken, packer.out = packer.out, []
+    return [[task] * len(taken), *map(list, zip(*taken, strict=True))]
 
 
 def _packed(encoder: Callable[[], object], tiers: tuple[int, ...], waiting: int):
     def work(batches: Iterator[Arrays]) -> Iterator[Arrays]:
         encode = per_worker("byte_bpe_50k", encoder).encode
         packer, task = Packer(tiers), TaskContext.get().partitionId()
-
-        def rows() -> Arrays:
-            taken, packer.out = packer.out, []
-            return [[task] * len(taken), *map(list, zip(*taken, strict=True))]
-
         for keys, texts in batches:
             for key, text in zip(keys, texts, strict=True):
                 packer.add(key.as_py(), np.append(encode(text.as_py() or ""), np.array([END], "<u4")))
                 if packer.waiting >= waiting:
                     packer.pack()
                 if len(packer.out) >= 10_000:
-                    yield rows()
-        packer.close()
+                    yield _rows(packer, task)
+        packer.leave()
         if packer.out:
-            yield rows()
+            yield _rows(packer, task)
+
+    return work
+
+
+def _packed_rests(tiers: tuple[int, ...], level: int, last: bool):
+    """Rests of several tasks, a group of them after the other, packed as one task's."""
+
+    def work(batches: Iterator[Arrays]) -> Iterator[Arrays]:
+        packer, group = Packer(tiers), None
+
+        def ended() -> Iterator[Arrays]:
+            packer.close() if last else packer.leave()
+            if packer.out:
+                yield _rows(packer, (level << 40) + group)
+
+        for columns in batches:
+            for of, doc, doc_tokens, start, rest in zip(*columns, strict=True):
+                if of.as_py() != group:
+                    if group is not None:
+                        yield from ended()
+                    packer, group = Packer(tiers), of.as_py()
+                packer.wait((doc.as_py(), doc_tokens.as_py()), start.as_py(), np.frombuffer(rest.as_py(), "<u4"))
+        if group is not None:
+            yield from ended()
 
     return work
 
@@ -181,22 +234,29 @@ def pack(
     """Pieces of all documents: ``key, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step``.
 
     A document is its text's ids and the end id; a null text counts as empty, so it is one token. Every id lies in
-    one piece. ``tier`` is the length of the sequence; all sequences are full, since those that a task's last
-    rests make are cut at powers of two. A training ``step`` holds sequences of one length and, but for
+    one piece. ``tier`` is the length of the sequence's window; all sequences are full but the last one of the table, which
+    may be shorter than the shortest tier. A training ``step`` holds sequences of one length and, but for
     the last of a length, ``step_tokens`` tokens; steps of all lengths take turns in proportion to their number.
-    Keys may be null or repeat; every row is packed as a document of its own. An empty table gives no rows.
+    Keys may be null or repeat; every row is packed as a document of its own. A result's column that is named like ``key``
+    gets an underscore. An empty table gives no rows.
     """
     if any(t & (t - 1) for t in tiers):
         raise ValueError("tiers must be powers of two")
-    kind = type_of(docs, quoted(key))
-    pieces = streamed(
-        docs,
-        [quoted(key), quoted(text).cast("string")],
-        f"task bigint, doc {kind}, doc_tokens bigint, start bigint, length bigint, ids_crc32 bigint, sequence bigint, "
-        "number bigint, tier bigint, offset bigint",
-        _packed(encoder, tuple(tiers), waiting),
+    columns = _COLUMNS.format(kind=type_of(docs, quoted(key)))
+    tiers = tuple(sorted(tiers))
+    names = [F.col(c) for c in ("group", "doc", "doc_tokens", "start", "rest")]
+    packed = written(
+        streamed(docs, [quoted(key), quoted(text).cast("string")], columns, _packed(encoder, tiers, waiting)), "pieces"
     )
-    pieces = written(pieces, "pieces")
+    pieces = packed.where("rest is null")
+    for level, last in ((1, False), (2, True)):
+        of = F.lit(0).cast("bigint") if last else F.shiftright("task", TOGETHER_BITS)
+        left = packed.where("rest is not null").withColumn("group", of)
+        many = 1 if last else int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        in_order = left.repartition(many, "group").sortWithinPartitions("group", "task", "start", "length", "rest")
+        packed = written(streamed(in_order, names, columns, _packed_rests(tiers, level, last)), "rests")
+        pieces = pieces.unionAll(packed.where("rest is null"))
+    pieces = pieces.drop("rest")
     # One row for each task and length: the only thing that is ever in one place.
     sizes = pieces.groupBy("task", "tier").agg((F.max("number") + 1).alias("many"))
     before = F.coalesce(F.sum("many").over(Window.orderBy("task", "tier").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -216,7 +276,10 @@ def pack(
     for t, n in sorted(steps.items()):
         ahead = F.when(F.col("tier") > t, F.floor(place * n + F.lit(0.5))).otherwise(F.ceil(place * n - F.lit(0.5)))
         step = step + F.when(F.col("tier") == t, own).otherwise(F.least(F.greatest(ahead, F.lit(0)), F.lit(n)))
+    made = {
+        "start": F.col("start"), "length": F.col("length"), "ids_crc32": F.col("ids_crc32"), "doc_tokens": F.col("doc_tokens"),
+        "sequence_id": F.col("base") + F.col("sequence"), "offset": F.col("offset"), "tier": F.col("tier"), "step": step.cast("bigint"),
+    }
     return pieces.join(at, ["task", "tier"]).select(
-        F.col("doc").alias(key), "start", "length", "ids_crc32", "doc_tokens",
-        (F.col("base") + F.col("sequence")).alias("sequence_id"), "offset", "tier", step.cast("bigint").alias("step"),
-    )
+        F.col("doc").alias(key), *[c.alias(n + "_" if n == key.lower() else n) for n, c in made.items()]
+    )

@@ -4,7 +4,8 @@ The lexicon is learned: words and word beginnings that labelled toxic texts have
 through the product of the trie and the automata of its terms, a deterministic automaton whose states are made
 as words need them, so a term with a letter changed, added or left out is found in one pass over the word. A
 hit counts in full, more when someone is addressed, less inside quotation marks or after a word of reporting;
-a small logistic regression weighs exact and misspelled, plain and quoted hits.
+a small logistic regression weighs exact and misspelled, plain and quoted hits. What a quotation takes off is set by hand,
+and so are the weights of quoted hits where the labelled texts have none (``PRIOR``).
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from sales_engine.llm.labelled import is_held_out, training_texts
 TRAIN_ROWS = 10_000
 #: A term's texts must be toxic to this share, and as many.
 CLEAN, LEAST_TEXTS, LEAST_SHARE = 0.95, 6, 0.01
-MOST_TERMS = 500
 #: A longer beginning stands for a shorter one if it has this share of its texts.
 SAME = 0.95
 #: Near copies share of all their words, and of all their runs of three words, at least so much.
@@ -128,10 +128,10 @@ class Automaton:
 
 
 class Reader:
-    """Finds and weighs the hits of a text. Words seen in clean training texts are no misspellings."""
+    """Finds and weighs the hits of a text."""
 
-    def __init__(self, terms: Sequence[str], spared: Sequence[str] = ()):
-        self.automaton, self.spared = Automaton(terms), frozenset(spared)
+    def __init__(self, terms: Sequence[str]):
+        self.automaton = Automaton(terms)
         self.known: dict[str, int] = {}
 
     def kind(self, word: str) -> int:
@@ -141,7 +141,7 @@ class Reader:
             if len(self.known) > KNOWN_WORDS:
                 self.known.clear()
             errors = self.automaton.errors(word)
-            kind = self.known[word] = 0 if errors == 99 or (errors and word in self.spared) else 1 + (errors > 0)
+            kind = self.known[word] = 0 if errors == 99 else 1 + (errors > 0)
         return kind
 
     def kinds(self, words: list[str]) -> np.ndarray:
@@ -150,8 +150,8 @@ class Reader:
         except KeyError:
             return np.fromiter(map(self.kind, words), np.int8, len(words))
 
-    def features(self, text: str) -> tuple[np.ndarray, set[str]]:
-        """Figures for the regression, and the words taken for misspelled terms."""
+    def features(self, text: str) -> np.ndarray:
+        """Figures for the regression."""
         text = text.lower()
         words = _WORD.findall(text)
         kinds = self.kinds(words)
@@ -159,7 +159,7 @@ class Reader:
         out = np.zeros(len(PRIOR))
         out[0] = 1
         if not len(hits):
-            return out, set()
+            return out
         spans = [m.span() for m in _WORD.finditer(text)]
         for at in hits.tolist():
             quoted_hit, weight = self._context(text, words, spans, at)
@@ -167,7 +167,7 @@ class Reader:
         rate = out[1:5].sum() / len(words) * 100
         out[1:5] = np.log1p(out[1:5])
         out[5] = min(rate, 5.0)
-        return out, {words[i] for i in hits.tolist() if kinds[i] == 2}
+        return out
 
     @staticmethod
     def _context(text: str, words: list[str], spans: list[tuple[int, int]], at: int) -> tuple[bool, float]:
@@ -257,14 +257,14 @@ def learn_terms(texts: Iterable[tuple[Sequence[str], int]]) -> list[str]:
     enough = max(LEAST_TEXTS, LEAST_SHARE * len(per_text))
     terms = {t for t in heads if hits[t] >= enough}
     left = [c for c in (own & heads for own in per_text) if c and not c & terms]
-    while left and len(terms) < MOST_TERMS:
+    while left:  # a term covers some texts more each time, so there are fewer terms than toxic texts
         gains = Counter(t for c in left for t in c)
         best = min(gains, key=lambda t: (-gains[t], len(t), t))
         if gains[best] < LEAST_TEXTS:
             break
         terms.add(best)
         left = [c for c in left if best not in c]
-    return sorted(terms, key=lambda t: (-hits[t], t))[:MOST_TERMS]
+    return sorted(terms, key=lambda t: (-hits[t], t))
 
 
 def _regress(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -289,13 +289,11 @@ def _trainer(batches: Iterator[Arrays]) -> Iterator[Arrays]:
             texts.append(([names.setdefault(w, w) for w in _WORD.findall(text.lower())], label))
             kept.append(text)
     terms = learn_terms(texts)
-    plain = Reader(terms)
-    spared = {w for words, label in texts if not label for w in words if plain.kind(w) == 2}
-    reader = Reader(terms, spared)
-    x = np.array([reader.features(t)[0] for t in kept])
+    reader = Reader(terms)
+    x = np.array([reader.features(t) for t in kept])
     y = np.array([label for _, label in texts], float)
     weights = _regress(x, y) if terms else PRIOR
-    yield [[json.dumps({"terms": terms, "spared": sorted(spared), "weights": list(weights)})]]
+    yield [[json.dumps({"terms": terms, "weights": list(weights)})]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text") -> dict:
@@ -305,24 +303,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TR
     """
     sample = training_texts(docs, labels, label, rows, key, text)
     made = streamed(sample, [F.col("text"), F.col("label")], "model string", _trainer).collect()
-    return json.loads(made[0].model) if made else {"terms": [], "spared": [], "weights": list(PRIOR)}
+    return json.loads(made[0].model) if made else {"terms": [], "weights": list(PRIOR)}
 
 
 def score(docs: DataFrame, model: dict, threshold: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with ``held_out``, ``score``, ``hits`` and ``predicted`` (1 from ``threshold`` on).
 
     ``hits`` is the context-weighted number of terms per hundred words, at most 5. A null or empty text has no
-    hits. Equal texts have equal scores, whatever their other columns. The model's size is bounded by
-    ``MOST_TERMS`` and by the rows it was learned from.
+    hits. Equal texts have equal scores, whatever their other columns. The model's size is bounded by the rows it
+    was learned from.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        reader = Reader(shared.value["terms"], shared.value["spared"])
+        reader = Reader(shared.value["terms"])
         weights = np.array(shared.value["weights"])
 
         def work(columns: Arrays) -> Arrays:
-            x = np.array([reader.features(t or "")[0] for t in columns[0].to_pylist()])
+            x = np.array([reader.features(t or "") for t in columns[0].to_pylist()])
             scores = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             return [scores.tolist(), x[:, 5].tolist()]
 

@@ -223,7 +223,7 @@ def test_automaton_against_edit_distance():
 
 def test_quotation_weighs_less_than_abuse():
     reader = toxicity.Reader(["moron"])
-    score = lambda text: float(reader.features(text)[0] @ toxicity.PRIOR)
+    score = lambda text: float(reader.features(text) @ toxicity.PRIOR)
     assert score("you are a moron") > score("what a moron here") > score("what a morron here") > score("nothing to see")
     assert score('a letter said "such a moron" in print') < score("a letter is such a moron in print")
 
@@ -298,12 +298,28 @@ def test_packing(spark, docs):
         for r in sorted(own, key=lambda r: r.offset):
             assert r.offset == at
             at += r.length
-        assert at == own[0].tier <= 2048 and at & (at - 1) == 0
+        assert at == own[0].tier or own[0].tier == 256 > at, "only the last sequence of all may not be full"
+        assert own[0].tier in (256, 512, 1024, 2048)
+    assert sum(sum(r.length for r in own) < 256 for own in sequences.values()) <= 1
+    assert {r.tier for r in got} == {256, 512, 1024, 2048}
     assert sorted(sequences) == list(range(len(sequences))) and sorted(steps) == list(range(len(steps)))
     assert all(len(tiers) == 1 for tiers in steps.values())
 
 
+def test_rests_of_many_tasks_are_packed_together(spark, docs):
+    """Of 40 tasks with a few short documents each, only one sequence isn't full."""
+    short = docs.where("length(text) < 3000").repartition(40)
+    got = pack(short, byte_bpe()).collect()
+    lengths = defaultdict(int)
+    for r in got:
+        lengths[r.sequence_id, r.tier] += r.length
+    assert sum(length < tier for (_, tier), length in lengths.items()) <= 1
+    assert Counter(r.doc_id for r in got if r.start == 0) == Counter(r.doc_id for r in short.collect())
+
+
 def test_packing_edge_cases(spark, docs):
+    clash = pack(docs.limit(9).withColumnRenamed("doc_id", "tier"), byte_bpe(), key="tier")
+    assert clash.columns[0] == "tier" and len(set(clash.columns)) == len(clash.columns) and clash.count() >= 9
     assert pack(docs.limit(0), byte_bpe()).count() == 0
     got = pack(spark.createDataFrame([(None, None), (1, ""), (1, "")], "doc_id long, text string"), byte_bpe()).collect()
     assert sum(r.length for r in got) == 3
