@@ -3,7 +3,7 @@
 A document's tokens are cut into windows of the longest tier; what is left after the last full window is routed
 to the shortest tier that holds it. Each tier is packed on its own, the longest first: a rest gets a window, and the gap
 behind it is filled from shorter tiers with whole rests of the longest tier that surely fits, at its end with one that is cut.
-So long windows take few of the short rests, which fill windows of their own tier.
+A tier gives half of its tokens to gaps; the other half fills windows of its own length.
 
 A task packs the documents of its own input split, a bounded number of waiting tokens at a time. What it cannot lay into
 full windows, less than one long window, is packed with that of 1023 other tasks, and what is left of these with that of
@@ -30,6 +30,9 @@ TIERS = (256, 512, 1024, 2048)
 END = 1
 #: Rests that may wait for a gap in a task, in tokens; then the tiers are emptied.
 WAITING = 1 << 21
+#: Share of a tier's tokens that may fill gaps of longer windows. Beyond it a gap gets the next rest of the window's own tier,
+#: so that windows of every length are made however many gaps there are.
+GIVEN = 0.5
 #: Tasks whose last rests are packed together, as a power of two; then as many such groups.
 TOGETHER_BITS = 10
 #: Tokens of a training step.
@@ -90,6 +93,7 @@ class Packer:
         self.tiers = sorted(tiers)
         self.rests: dict[int, deque] = {t: deque() for t in self.tiers}
         self.waiting = 0
+        self.routed, self.given = dict.fromkeys(self.tiers, 0), dict.fromkeys(self.tiers, 0)
         self.placed: dict[int, int] = {}
         self.out: list[tuple] = []
 
@@ -106,6 +110,7 @@ class Packer:
         tier = next(t for t in self.tiers if t >= len(rest))
         self.rests[tier].append((doc, start, rest))
         self.waiting += len(rest)
+        self.routed[tier] += len(rest)
 
     def _place(self, pieces: list[tuple], size: int) -> None:
         offset, sequence, number = 0, sum(self.placed.values()), self.placed.get(size, 0)
@@ -136,9 +141,13 @@ class Packer:
                 gap = tier - len(window[0][2])
                 while gap:
                     there = [t for t in usable if self.rests[t]]
-                    fits = [t for t in there if t <= gap]
-                    window.append(self._take(fits[-1] if fits else there[0], gap))
+                    free = [t for t in there if t < tier and self.given[t] < GIVEN * self.routed[t]]
+                    fits = [t for t in free if t <= gap]
+                    of = fits[-1] if fits else free[0] if free else there[-1]
+                    window.append(self._take(of, gap))
                     gap -= len(window[-1][2])
+                    if of < tier:
+                        self.given[of] += len(window[-1][2])
                 self._place(window, tier)
                 room -= tier
 
