@@ -42,6 +42,12 @@ def spare(df: DataFrame, name: str) -> str:
     return name + "_" * max([0, *map(len, df.columns)])
 
 
+def beside(key: str, ddl: str) -> str:
+    """Columns of a result that has a row's key too: one named like the key, in any case, gets an underscore."""
+    fields = [f.strip().split(" ", 1) for f in ddl.split(", ")]
+    return ", ".join(f"{name}_ {kind}" if name.lower() == key.lower() else f"{name} {kind}" for name, kind in fields)
+
+
 def text_of(df: DataFrame, name: str) -> Column | str:
     """The column as text: its name if it is one."""
     return name if dict(df.dtypes)[name] == "string" else quoted(name).cast("string")

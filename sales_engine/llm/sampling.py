@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from sales_engine.llm.arrow import Arrays, append, flat, per_worker, quoted, text_of, type_of
+from sales_engine.llm.arrow import Arrays, append, beside, flat, per_worker, quoted, text_of, type_of
 from sales_engine.llm.remembered import Remembered
 
 MARK = "▁"
@@ -334,7 +334,8 @@ def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
     """Per row ``key, n_tokens, ids_crc32`` (of the ids as ``encode`` gives them, little-endian), ``decoded_sha256``
     (of the text that ``decode`` makes of them) and ``lossless``: whether that is the row's text, null as empty.
 
-    A task encodes and decodes some rows at a time, so neither ids nor texts leave it.
+    A task encodes and decodes some rows at a time, so neither ids nor texts leave it. A result's column that is named like
+    ``key`` gets an underscore.
     """
 
     def make():
@@ -357,4 +358,4 @@ def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
         return work
 
     inputs = [quoted(key).cast("string"), quoted(text).cast("string"), quoted(key)]
-    return flat(docs, inputs, f"`{key}` {type_of(docs, quoted(key))}, {ROUND_TRIP}", make)
+    return flat(docs, inputs, f"`{key}` {type_of(docs, quoted(key))}, {beside(key, ROUND_TRIP)}", make)

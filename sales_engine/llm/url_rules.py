@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sales_engine.llm.arrow import Arrays, append, flat, quoted, streamed, type_of
+from sales_engine.llm.arrow import Arrays, append, beside, flat, quoted, streamed, type_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ROWS_A_SHARD = 500_000
@@ -97,7 +97,8 @@ def judge_urls(
     the URL's path starts with the rule's; of those that fit the longest (host and path together, then the host)
     wins, and block where two are the same. Where none fits, ``rule`` is null and the verdict is ``default``. A null
     URL has an empty host and path. Rules without a host or an action are left out, a rule without a path
-    fits every path. Rows may share a key or have none. An empty table gives an empty result.
+    fits every path. Rows may share a key or have none. A result's column that is named like ``key`` gets an underscore. An
+    empty table gives an empty result.
     """
     spark = pages.sparkSession
     host, path = host_and_path(quoted(url))
@@ -148,6 +149,6 @@ def judge_urls(
     return streamed(
         ordered,
         [F.col(c) for c in ("shard", "is_url", "prefix", "path", "host", "action", "id")],
-        f"`{key}` {kind}, host string, path string, rule string, verdict string",
+        f"`{key}` {kind}, " + beside(key, "host string, path string, rule string, verdict string"),
         _sweep(default),
     )

@@ -24,6 +24,8 @@ from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted, str
 from sales_engine.llm.tables import written
 
 SHARD_BYTES = 64 * 1024 * 1024
+#: Beyond so many shards they hold more bytes each; a task writes its shard as a stream of files, whatever its size.
+MOST_SHARDS = 20_000
 ROLL_BYTES = 16 * 1024 * 1024
 DATE = "2000-01-01T00:00:00Z"
 BLOCKS = 10_000
@@ -163,6 +165,27 @@ def _manifest_rows(shard: _Shard) -> Iterator[Arrays]:
         yield list(map(list, zip(*done, strict=True)))
 
 
+def _finer(sizes: DataFrame, ranges: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """Bytes of the keys in the ranges (ascending, apart), by steps of ``width`` from each range's start."""
+    shared = sizes.sparkSession.sparkContext.broadcast(np.array(ranges, object))
+
+    def step_of():
+        starts, ends = shared.value.T
+
+        def work(columns: Arrays) -> Arrays:
+            found = []
+            for key in columns[0].to_pylist():
+                at = bisect_right(starts, key) - 1
+                inside = at >= 0 and key < ends[at]
+                found.append(starts[at] + (key - starts[at]) // width * width if inside else None)
+            return [found]
+
+        return work
+
+    steps = append(sizes, ["key"], "start bigint", step_of).where("start is not null")
+    return [(r.start, r.bytes) for r in steps.groupBy("start").agg(F.sum("bytes").alias("bytes")).collect()]
+
+
 def _ranges(sizes: DataFrame, shard_bytes: int) -> list[int]:
     """First keys of the shards after the first one: exact sums of bytes over ranges of keys, refined where heavy.
 
@@ -175,26 +198,15 @@ def _ranges(sizes: DataFrame, shard_bytes: int) -> list[int]:
     heavy = [(low, high + 1)]
     while heavy:
         width = max(1, -(-sum(b - a for a, b in heavy) // BLOCKS))
-        starts = [a for a, _ in heavy]
-        # The range a key is in, as an expression over at most BLOCKS bounds.
-        bounds = F.array(*[F.lit(s).cast("bigint") for s in starts])
-        inside = F.filter(bounds, lambda b: b <= F.col("key"))
-        start = F.element_at(inside, -1)
-        ends = F.element_at(F.array(*[F.lit(b).cast("bigint") for _, b in heavy]), F.size(inside))
-        rows = (
-            sizes.where((F.size(inside) > 0) & (F.col("key") < ends))
-            .groupBy((start + F.floor((F.col("key") - start) / width) * width).alias("start"))
-            .agg(F.sum("bytes").alias("bytes"))
-            .collect()
-        )
+        rows, starts = _finer(sizes, heavy, width), [a for a, _ in heavy]
         # In order, as the next round's lookup needs them, and within the range they came from.
         heavy = sorted(
-            (r.start, min(r.start + width, heavy[bisect_right(starts, r.start) - 1][1]))
-            for r in rows
-            if r.bytes > shard_bytes and width > 1
+            (start, min(start + width, heavy[bisect_right(starts, start) - 1][1]))
+            for start, size in rows
+            if size > shard_bytes and width > 1
         )
         taken = {a for a, _ in heavy}
-        sums += [(r.start, r.bytes) for r in rows if r.start not in taken]
+        sums += [(start, size) for start, size in rows if start not in taken]
     bounds, filled = [], 0
     for start, size in sorted(sums):
         if filled and filled + size > shard_bytes:
@@ -204,6 +216,39 @@ def _ranges(sizes: DataFrame, shard_bytes: int) -> list[int]:
     return bounds
 
 
+class _Shards:
+    """Shard of a row: by the range its key is in; a range that one key overfills is cut further by the digest.
+
+    Rows equal in key and payload stay together, since all but the first refer to it; so do null-keyed rows with one payload.
+    """
+
+    def __init__(self, bounds: list[int], heavy: dict[int, int]):
+        self.bounds = bounds
+        self.many = [heavy.get(r, 1) for r in range(len(bounds) + 1)]
+        self.first = [0, *np.cumsum(self.many).tolist()]
+
+    def of(self, key: int | None, page_digest: str) -> int | None:
+        if key is None:
+            return None
+        at = bisect_right(self.bounds, key)
+        return self.first[at] + (zlib.crc32(page_digest.encode()) % self.many[at] if self.many[at] > 1 else 0)
+
+
+def _shards(sizes: DataFrame, shard_bytes: int) -> _Shards:
+    """Ranges of keys, and into how many shards the ranges of single heavy keys are cut."""
+    bounds = _ranges(sizes, shard_bytes)
+    shared = sizes.sparkSession.sparkContext.broadcast(bounds)
+
+    def range_of():
+        return lambda columns: [[bisect_right(shared.value, k) for k in columns[0].to_pylist()]]
+
+    ranges = append(sizes, ["key"], "range int", range_of).groupBy("range").agg(
+        F.sum("bytes").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    over = ranges.where((F.col("low") == F.col("high")) & (F.col("bytes") > shard_bytes)).collect()
+    return _Shards(bounds, {r.range: -(-r.bytes // shard_bytes) for r in over})
+
+
 def write_warc(
     pages: DataFrame,
     dst: str,
@@ -237,20 +282,22 @@ def write_warc(
     roles = light.join(groups, "digest").where("not key <=> refers_to").select("key", "digest", "refers_to").distinct()
 
     keyed = light.select("key", (F.col("bytes") + OVERHEAD).alias("bytes"))
-    bounds = _ranges(keyed.where("key is not null"), shard_bytes)
+    total = keyed.agg(F.sum("bytes")).first()[0] or 0
+    shard_bytes = max(shard_bytes, -(-total // MOST_SHARDS))
+    ranged = _shards(keyed.where("key is not null"), shard_bytes)
     loose = keyed.where("key is null").agg(F.sum("bytes")).first()[0] or 0
     loose_shards = max(1, -(-loose // shard_bytes))
-    shared = pages.sparkSession.sparkContext.broadcast(np.array(bounds, np.int64))
+    shared = pages.sparkSession.sparkContext.broadcast(ranged)
 
     def shard_of():
         def work(columns: Arrays) -> Arrays:
-            return [[None if k is None else bisect_right(shared.value, k) for k in columns[0].to_pylist()]]
+            return [list(map(shared.value.of, *(c.to_pylist() for c in columns)))]
 
         return work
 
     def placed(df: DataFrame) -> DataFrame:
-        spread = len(bounds) + 1 + F.pmod(F.xxhash64("digest"), F.lit(loose_shards))
-        return append(df, ["key"], "range int", shard_of).withColumn("shard", F.coalesce("range", spread.cast("int")))
+        spread = ranged.first[-1] + F.pmod(F.xxhash64("digest"), F.lit(loose_shards))
+        return append(df, ["key", "digest"], "range int", shard_of).withColumn("shard", F.coalesce("range", spread.cast("int")))
 
     columns = ["shard", "key", "digest", "kind", "refers_to", "url", "payload"]
     none = F.lit(None).cast("string")
@@ -258,7 +305,7 @@ def write_warc(
     said = placed(rows).select(
         "shard", "key", "digest", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("refers_to"), "url", "payload"
     )
-    shards = len(bounds) + 1 + loose_shards
+    shards = ranged.first[-1] + loose_shards
     ordered = told.unionAll(said).repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key", "digest", "kind", "url")
     files = streamed(ordered, [F.col(c) for c in columns], MANIFEST, _writer(dst, roll_bytes, date))
     return _commit(written(files, "warc-files"), dst)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sales_engine.llm.url_rules import judge_urls
-from sales_engine.llm.warc import _ranges, read_warc, write_warc
+from sales_engine.llm.warc import _ranges, digest, read_warc, write_warc
 from sales_engine.session import scratch_dir
 
 PAGES = [(1, "http://a/", "x" * 900), (2, "http://b/", "x" * 900), (3, None, None), (4, "u", ""), (None, "v", "x" * 900), (5, "a\nb", "é"), (5, "a\nb", "é"), (None, None, "own")]
@@ -62,6 +62,27 @@ def test_heavy_clusters_far_apart_are_split(spark):
     assert bounds == _ranges(sizes.repartition(3, F.col("key") % 5), 1000)
 
 
+def test_a_key_with_many_rows_is_cut_by_payload(spark):
+    """A third of the rows share a key: they go to several shards, and every record still refers to the right one."""
+    draw = random.Random(12)
+    rows = [(7 if i % 3 == 0 else i, f"http://a/{i}", "x" * draw.randrange(3000) + str(i % 40)) for i in range(400)]
+    rows += [(7, None, "long " * 50_000), (7, "http://a", ""), (7, "http://a", ""), (None, "http://b", None), (None, None, "long " * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    dst = scratch_dir(spark, "warc-test")
+    manifest = write_warc(pages, dst, shard_bytes=20_000, roll_bytes=5_000)
+    assert manifest.select("shard").distinct().count() > 20
+    back = read_warc(spark, dst).collect()
+    want = Counter((k, len((t or "").encode()), digest((t or "").encode())) for k, _, t in rows)
+    assert Counter((r.key, r.payload_bytes, r.payload_digest) for r in back) == want
+    largest = {}
+    for k, _, t in rows:
+        d = digest((t or "").encode())
+        largest[d] = max(largest.get(d, (False, 0)), (k is not None, k or 0))
+    responses = Counter(r.payload_digest for r in back if r.record_type == "response")
+    assert responses == Counter(largest.keys())
+    assert all(r.key == largest[r.payload_digest][1] for r in back if r.record_type == "response" and largest[r.payload_digest][0])
+
+
 def test_an_empty_table_writes_an_empty_manifest(spark):
     dst = scratch_dir(spark, "warc-test")
     assert write_warc(spark.createDataFrame([], "page_id long, url string, html string"), dst).count() == 0
@@ -95,5 +116,8 @@ def test_rules_against_all_of_them(spark, shards):
     table = spark.createDataFrame([*rules, (None, "a", "/"), ("block", None, "/")], "action string, host string, path string")
     got = judge_urls(pages, table, shards=shards).orderBy("page_id").collect()
     assert [tuple(r) for r in got] == [(i, *verdict(u, rules)) for i, u in enumerate(urls)]
+    clash = judge_urls(pages.drop("host").withColumnRenamed("page_id", "Host"), table, key="Host")
+    assert clash.columns == ["Host", "host_", "path", "rule", "verdict"]
+    assert sorted(map(tuple, clash.collect())) == sorted(map(tuple, got))
     assert judge_urls(pages.limit(0), table).count() == 0
     assert judge_urls(pages, table.limit(0)).where("verdict = 'allow' and rule is null").count() == len(urls)

@@ -270,6 +270,8 @@ def test_round_trip(docs):
     both = decode(encode(docs.withColumn("whole", F.coalesce("text", F.lit(""))), pieces_model()), pieces_model())
     assert both.where("decoded <> whole or decoded is null").isEmpty()
     assert round_trip(docs.limit(0), pieces_model()).count() == 0
+    clash = round_trip(docs.limit(5).withColumnRenamed("doc_id", "n_tokens"), pieces_model(), key="n_tokens")
+    assert clash.columns == ["n_tokens", "n_tokens_", "ids_crc32", "decoded_sha256", "lossless"] and clash.count() == 5
 
 
 # -- packing ----------------------------------------------------------------------------------------------------
