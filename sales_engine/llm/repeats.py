@@ -216,7 +216,8 @@ def remove_repeats(
 
     Strings are those of the input (not of what is left), never cross texts, and may overlap; every occurrence
     goes, the first too. Columns added: ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs),
-    ``kept_sha256`` (of the remaining bytes). ``text`` becomes the rest; bytes of a character that was cut
+    ``kept_sha256`` (of the remaining bytes), ``n_anchors`` (phrases whose context, ``length - 127`` bytes, occurs elsewhere: a text
+    with some but without removed bytes shares shorter passages). ``text`` becomes the rest; bytes of a character that was cut
     apart are dropped from it (not from the digest). With ``keep_text=False`` the text may be null in the result,
     which saves room. A null text counts as empty and becomes empty. Rows may share a ``key`` or have none; equal
     rows repeat each other. An empty table gives an empty result. Columns of ``docs`` named like an added one are
@@ -224,7 +225,7 @@ def remove_repeats(
     """
     if length < REACH + 2 * CELL:
         raise ValueError(f"length must be at least {REACH + 2 * CELL}")
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_anchors"]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     others = [c for c in docs.columns if c != text]
     whole = F.coalesce(quoted(text).cast("string"), F.lit(""))
@@ -261,6 +262,7 @@ def remove_repeats(
             "sure",
             "unsure",
             F.octet_length("text").cast("bigint").alias("n_bytes"),
+            F.when(clean, 0).otherwise(F.size("sure") + F.size("unsure")).cast("bigint").alias("n_anchors"),
             F.when(clean, F.sha2("text", 256)).alias("kept_sha256"),
         ),
         "marked",
@@ -270,17 +272,17 @@ def remove_repeats(
         _found_in_classes(dirty, length).groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     )
     cut = append(
-        dirty.join(found, ["k1", "k2"], "left").select("row", "n_bytes", "text", "sure", "found"),
+        dirty.join(found, ["k1", "k2"], "left").select("row", "n_bytes", "n_anchors", "text", "sure", "found"),
         ["text", "sure", "found"],
         "text string, n_removed bigint, n_spans bigint, kept_sha256 string",
         _without(length, least_words),
     )
     zero = F.lit(0).cast("bigint")
     untouched = staged.where("sure is null").select(
-        "row", "n_bytes", "text", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"
+        "row", "n_bytes", "n_anchors", "text", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"
     )
     result = cut.select(*untouched.columns).unionAll(untouched)
     return result.select(
         *[F.col("text").alias(c) if c == text else F.col(f"row.c{others.index(c)}").alias(c) for c in docs.columns],
-        "n_bytes", "n_removed", "n_spans", "kept_sha256",
+        *added,
     )

@@ -8,6 +8,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sales_engine import session
 from sales_engine.session import scratch_dir
 
 _noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
@@ -35,5 +36,4 @@ def noting() -> Iterator[list[str]]:
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables that nothing will read again."""
     for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        session.delete(spark, path)

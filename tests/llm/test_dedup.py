@@ -75,10 +75,31 @@ def test_characters_that_are_cut_apart_leave_the_text(spark):
     assert [r.text for r in got] == ["x", "ab"]
 
 
+def test_shorter_passages_leave_anchors(spark):
+    """Strings of 273 bytes after a trigger are compared: of passages of 390 bytes nearly all are seen, and none goes."""
+    draw = random.Random(14)
+    letters = lambda n: "".join(draw.choice("abcdefghij ") for _ in range(n))
+    passages = [letters(390) for _ in range(40)]
+    rows = [(2 * i + j, f"{letters(300)}#{j}{p}{j}#{letters(300)}") for i, p in enumerate(passages) for j in (0, 1)]
+    got = remove_repeats(frame(spark, [*rows, *[(1000 + i, letters(900)) for i in range(40)]]), keep_text=False).collect()
+    assert sum(r.n_removed for r in got) == 0 and not any(r.n_anchors for r in got if r.doc_id >= 1000)
+    assert sum(r.n_anchors > 0 for r in got) >= 64
+
+
+def test_least_words(spark):
+    draw = random.Random(15)
+    words = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    long, short = words(60), words(45)
+    rows = [(i, f"{i}# {words(20)} # {p} # {words(20)} #{i}") for i, p in enumerate([long, long, short, short])]
+    got = {r.doc_id: r for r in remove_repeats(frame(spark, rows), length=200, least_words=51).collect()}
+    assert all(long not in got[i].text and got[i].n_spans == 1 for i in (0, 1))
+    assert all(got[i].text == rows[i][1] and got[i].n_removed == 0 for i in (2, 3))
+
+
 def test_repeats_edge_cases(spark):
     rows = frame(spark, EDGES).withColumn("N_Bytes", F.lit(5)).withColumn("k1", F.lit("k")).withColumn("row", F.lit(None).cast("int"))
     got = remove_repeats(rows)
-    assert got.columns == ["doc_id", "text", "k1", "row", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert got.columns == ["doc_id", "text", "k1", "row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_anchors"]
     assert got.count() == len(EDGES) and got.agg(F.sum("n_removed")).first()[0] == 0
     assert remove_repeats(rows.limit(0)).count() == 0
     twice = remove_repeats(frame(spark, [(1, "ab" * 300), (1, "ab" * 300), (None, "z" * 399)])).collect()
