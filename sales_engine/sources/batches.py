@@ -6,7 +6,6 @@ and a log whose last state lists the data folders and, for each landing run, whi
 
 from __future__ import annotations
 
-import re
 import uuid
 from math import ceil
 
@@ -45,23 +44,17 @@ def holds(within: Spans, number: int) -> bool:
     return any(first <= number <= last for first, last in within)
 
 
-def finished_batches(spark: SparkSession, src: str) -> dict[str, list[int]]:
-    """Batches of each run that were written to the end; one that is still being written has no success mark."""
-    found: dict[str, list[int]] = {}
-    for path, _, _ in Storage(spark, src).files():
-        at = re.search(r"/run=([^/]+)/batch_id=(\d+)/_SUCCESS$", path)
-        if at:
-            found.setdefault(at[1], []).append(int(at[2]))
-    return found
-
-
 def new_batches(spark: SparkSession, src: str, taken: dict[str, Spans]) -> dict[str, list[int]]:
-    """Finished batches that aren't among the taken ones."""
-    fresh = {
-        run: sorted(n for n in numbers if not holds(taken.get(run, []), n))
-        for run, numbers in finished_batches(spark, src).items()
-    }
-    return {run: numbers for run, numbers in fresh.items() if numbers}
+    """Batches of each run that aren't among the taken ones and were written to the end.
+
+    Folders are listed, files aren't; a batch that is still being written has no success mark yet.
+    """
+    storage, found = Storage(spark, src), {}
+    for folder in storage.folders("run=*/batch_id=*"):
+        run, batch = (part.split("=", 1)[1] for part in folder.split("/"))
+        if batch.isdigit() and not holds(taken.get(run, []), int(batch)) and storage.exists(f"{folder}/_SUCCESS"):
+            found.setdefault(run, []).append(int(batch))
+    return {run: sorted(numbers) for run, numbers in found.items()}
 
 
 def compact_new(

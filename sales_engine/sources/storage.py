@@ -93,12 +93,16 @@ class CommitLog:
             raise RuntimeError(f"commit {after + 1} under {self.storage.root} was made by another writer")
         return after + 1
 
-    def tidy(self, pattern: str, named: list[str]) -> None:
+    def tidy(self, pattern: str, named: list[str], commits: int = 100) -> None:
         """Delete folders ``<kind>-<number>-<id>`` that the last commit doesn't name and that can't be committed any more.
 
-        A folder of the next number may be one that another writer is still filling.
+        A folder of the next number may be one that another writer is still filling. Of the commits the last ones stay.
         """
         number, _ = self.last()
+        for path, _, _ in self.storage.files("_commits"):
+            name = path.rsplit("/", 1)[-1]
+            if name[:-5].isdigit() and int(name[:-5]) <= number - commits:
+                self.storage.delete(f"_commits/{name}")
         for folder in self.storage.folders(pattern):
             if folder not in named and int(folder.split("-")[1]) <= number:
                 self.storage.delete(folder)

@@ -36,6 +36,10 @@ def test_commits_follow_one_another_and_one_of_two_writers_wins(spark, tmp_path)
         log.commit(1, {"folder": "late"})
     assert log.last() == (2, {"folder": "é"}) and log.folder().endswith("/log/é")
     assert not [p for p, _, _ in log.storage.files() if p.endswith(".tmp")]
+    for n in range(2, 6):
+        log.commit(n, {"folder": "x"})
+    log.tidy("x-*", [], commits=2)
+    assert log.last() == (6, {"folder": "x"}) and len(log.storage.files("_commits")) == 2
 
 
 def test_storage_lists_files_and_folders(spark, tmp_path):
