@@ -188,11 +188,13 @@ def resample(
     ties to the smaller ``key`` (an integer; null comes last), rows that tie in both in any order, the same in every
     later read. A null or empty text has no feature: weight 0, and its score is the noise of its key. An empty
     ``docs`` gives an empty result, an empty target the gains of a target without features. Columns of ``docs``
-    named like an added one are replaced. ``carry_text=False`` leaves the text out.
+    named like an added one are replaced, the key and the text too. ``carry_text=False`` leaves the text out.
     """
     if dict(docs.dtypes)[key] not in ("bigint", "int", "smallint", "tinyint"):
         raise TypeError("the key has to be an integer")
     added = ("n_features", "weight", "score", "rank")
+    renamed = {c: spare(docs, c) for c in (key, text) if c.lower() in added}  # they are needed until the end
+    docs, key, text = docs.withColumnsRenamed(renamed), renamed.get(key, key), renamed.get(text, text)
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     gains = bucket_gains(bucket_counts(target, target_text), bucket_counts(docs, text))
     many, row, at, part = (spare(docs, name) for name in ("n_words", "row_number", "place", "part"))
@@ -208,7 +210,7 @@ def resample(
     # nulls last: among equal scores first the rows with a key, then the keys, then the rows themselves
     orders = [-F.col("score"), quoted(key).isNull().cast("int"), F.coalesce(quoted(key).cast("bigint"), F.lit(0)), F.col(row)]
     drawn = long_enough & _drawn(scored.where(long_enough), orders, need)
-    columns = [*[quoted(c) for c in docs.columns], "n_features", "weight", "score"]
+    columns = [*[quoted(c) for c in docs.columns if c not in renamed.values()], "n_features", "weight", "score"]
     tasks = max(1, ceil(need / RANKED_ROWS_A_TASK), min(need, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     in_order = scored.where(drawn).repartitionByRange(tasks, *orders).sortWithinPartitions(*orders)
     placed = written(in_order.withColumn(at, F.monotonically_increasing_id()), "placed")

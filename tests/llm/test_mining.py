@@ -93,8 +93,6 @@ def test_removal_of_spans_and_documents(spark, contaminated):
     before = Counter(t for _, t in docs if not judged(t, items)[4])
     after = Counter(r.text for r in cut.collect())
     assert len(before - after) == 0 and sum(after.values()) == len(docs)
-    for text in after:
-        assert not judged(text, items)[4] or text.count("w1 ") > 2000 or "  " in text or judged(text, items)[1] < 40
     lost = sum(judged(t, items)[1] for _, t in docs)
     assert sum(len(words_of(t)) for _, t in docs) - sum(len(words_of(r.text)) for r in cut.collect()) == lost
     one = decontaminate(spark.createDataFrame([(1, f"Start, one. {items[0][1]}; the end!")], "doc_id long, text string"), test).first()
@@ -122,10 +120,9 @@ def automaton_of(counts):
 
 
 def test_automata_hold_sum_and_compose():
-    rng = random.Random(3)
     def made(seed, n):
-        r = random.Random(seed)
-        return Counter(tuple(b"%d" % r.randrange(9) for _ in range(r.randrange(1, 5))) for _ in range(n))
+        draw = random.Random(seed)
+        return Counter(tuple(b"%d" % draw.randrange(9) for _ in range(draw.randrange(1, 5))) for _ in range(n))
 
     for n in (0, 1, 50, 900):
         one, two = made(n, n), made(n + 1, n)
@@ -137,7 +134,6 @@ def test_automata_hold_sum_and_compose():
         assert got == {g: c for g, c in one.items() if g in two}
     same = automaton_of({(b"%d" % i, b"x", b"y"): 1 for i in range(200)})
     assert len(same.first) - 1 == 4  # the end, after x, after the first word, the root
-    assert rng.random() < 1
 
 
 def plain_collocations(rows, least, most=2000):
@@ -253,6 +249,8 @@ def test_resampling_like_plain_scores(spark):
         many = percent * len(order) // 100
         assert [r["rank"] for r in drawn] == list(range(1, many + 1))
         assert [(-r.score, r.doc_id is None, r.doc_id or 0) for r in drawn] == order[:many]
+    clash = resample(frame.drop("RANK").withColumnsRenamed({"doc_id": "score", "text": "Weight"}), frame.limit(0), key="score", text="Weight")
+    assert clash.columns == ["n_features", "weight", "score", "rank"] and clash.where("rank is not null").count() == 5 * len(order) // 100
     empty = resample(frame.limit(0), frame.limit(0))
     assert empty.count() == 0
     with pytest.raises(TypeError):
