@@ -139,8 +139,11 @@ def stream_stop_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         begun = max(int(folder.rsplit("=", 1)[1]) for folder in written)
         if begun > last:
             raise RuntimeError(f"batch {begun} was begun, batch {last} committed")
-        if not last + 1 > len(written):
-            raise RuntimeError("the batch without rows wrote a folder")
+        while last not in log.rows_of_batches(landing.query.id) and time.monotonic() < until:
+            time.sleep(0.05)
+        rows = [n for batch, n in log.rows_of_batches(landing.query.id).items() if batch <= last]
+        if 0 not in rows or len(written) != sum(n > 0 for n in rows):
+            raise RuntimeError(f"batches of {rows} rows were committed, {len(written)} written")
         if last > 5:
             raise RuntimeError("no batch was left after the stop")
     finally:

@@ -35,10 +35,14 @@ class Storage:
         path, system = self._at(name)
         if not system.exists(path):
             return []
-        listed, out = system.listFiles(path, True), []
-        while listed.hasNext():
-            status = listed.next()
-            out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+        waiting, out = [system.getFileStatus(path)], []
+        while waiting:
+            status = waiting.pop()
+            if status.isDirectory():
+                # unlike listFiles this asks nothing about a single file, which a writer may be renaming just now
+                waiting += system.listStatus(status.getPath())
+            else:
+                out.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
         return sorted(out)
 
     def read(self, name: str) -> str:
