@@ -163,6 +163,14 @@ def test_bands_follow_the_spread(spark):
             assert not any(v for k, v in kept.items() if k >= 10_000)
 
 
+def test_low_quality_is_rejected_more_often_than_good(spark, labels):
+    """The labels take no part in the bands; they only tell what the bands catch."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = judge_fertility(docs, byte_bpe(), pieces_model(), language="lang").where("not base_failed").join(labels, "doc_id").collect()
+    rejected = {q: np.mean([not r.kept for r in rows if r.quality == q]) for q in (0, 1)}
+    assert rejected[0] >= 0.7 and rejected[1] <= 0.03
+
+
 def test_fertility_edge_cases(docs):
     assert judge_fertility(docs.limit(0), byte_bpe(), pieces_model()).count() == 0
     clash = docs.withColumn("script", F.lit(1)).withColumn("Kept", F.lit(1))
@@ -363,3 +371,4 @@ def test_held_out_recall(spark):
     toxic = [r.predicted for r in rows if r.toxic]
     assert len(toxic) > 50 and np.mean(toxic) >= 0.85
     assert np.mean([r.predicted == r.toxic for r in rows]) >= 0.95
+    assert sum(r.predicted for r in rows if not r.toxic) <= 3
