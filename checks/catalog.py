@@ -111,26 +111,38 @@ def stream_land_compact_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean(read_json(spark, compacted, STREAM_SALES), STREAM_SPEC)
 
 
+def _messages_in(topic: Storage) -> list[str]:
+    """The files of a topic that a file stream reads."""
+    return [path for path, _, _ in topic.files() if not path.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+
 def stream_stop_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landing on a clock: full batches, one without rows, a stop in the midst that lets its batch end, and the rest.
 
     Raises where the stop broke a batch off, the empty batch wrote something, or nothing was left for the second run.
     """
     topic, landed, offsets = (scratch_dir(spark, name) for name in ("topic", "landed", "offsets"))
-    messages = views.messages(spark, sf_dir)
-    shares = messages.randomSplit([1.0] * 6, seed=7)
-    for share in shares[:2]:
-        share.coalesce(1).write.mode("append").text(topic)
-    Storage(spark, topic).put_new("empty.txt", "")
-    for share in shares[2:]:
-        share.coalesce(1).write.mode("append").text(topic)
-    stream = decode(read_stream(spark, "text", {"maxFilesPerTrigger": "1"}, topic))
+    # row numbers of a file scan are the same in every pass, so no share has to be sorted, and each task writes what it reads
+    messages = views.messages(spark, sf_dir).withColumn("at", F.monotonically_increasing_id())
+    share, files = F.pmod(F.xxhash64("at"), F.lit(6)), messages.rdd.getNumPartitions()
+    storage = Storage(spark, topic)
+
+    def fill(batch: str, there: int) -> None:
+        """Files without rows, up to the number that every batch takes."""
+        for n in range(len(_messages_in(storage)), there):
+            storage.put_new(f"{batch}-{n}.txt", "")
+
+    for n in range(6):
+        messages.where(share == n).select("value").write.mode("append").text(topic)
+        fill(f"share-{n}", (n + 1 + (n > 1)) * files)
+        if n == 1:
+            fill("empty", 3 * files)
+    stream = decode(read_stream(spark, "text", {"maxFilesPerTrigger": str(files)}, topic))
     log = ProgressLog()
     spark.streams.addListener(log)
     try:
         landing = Landing(stream, landed, offsets, "200 milliseconds")
-        until = time.monotonic() + 120
-        while (landing.committed() or 0) < 3 and landing.query.isActive and time.monotonic() < until:
+        while (landing.committed() or 0) < 3 and landing.query.isActive:
             time.sleep(0.05)
         last = landing.stop()
         if last is None or landing.failure():
@@ -139,6 +151,7 @@ def stream_stop_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         begun = max(int(folder.rsplit("=", 1)[1]) for folder in written)
         if begun > last:
             raise RuntimeError(f"batch {begun} was begun, batch {last} committed")
+        until = time.monotonic() + 120
         while last not in log.rows_of_batches(landing.query.id) and time.monotonic() < until:
             time.sleep(0.05)
         rows = [n for batch, n in log.rows_of_batches(landing.query.id).items() if batch <= last]
