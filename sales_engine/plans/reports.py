@@ -160,5 +160,6 @@ def top_product_per_demographic(
 ) -> DataFrame:
     """The product with the largest revenue in each demographic group; the smaller name wins a tie."""
     totals = _demographic_products(sales, stores, limit)
-    order = [F.desc("total_revenue"), F.asc("product_ID")]
+    # doubles are compared faster than decimals, which decide where these are equal
+    order = [F.col("total_revenue").cast("double").desc(), F.desc("total_revenue"), F.asc("product_ID")]
     return _as_double(top_n_per_group(totals, ["demographics"], order), "total_revenue")

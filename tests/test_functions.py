@@ -112,6 +112,19 @@ def test_exact_sum_of_small_and_huge_values(spark, ansi):
     assert beyond.agg(exact_sum(F.col("x"))).first()[0] is None
 
 
+@pytest.mark.parametrize("scale", [6, 12])
+def test_exact_sum_of_whole_hundredths_and_others(spark, ansi, scale):
+    rnd = random.Random(scale)
+    texts = ["0.01", "0.29", "-1.15", "9000000", "9000000.01", "-8999999.99", "0.005", "1e-7", "123456789012.34", "-0.0", "0.0000005"]
+    texts += [f"{rnd.randint(-(10**10), 10**10) / 100:.2f}" for _ in range(500)] + [f"{rnd.uniform(-5, 5):.5f}" for _ in range(500)]
+    df = spark.createDataFrame([(float(t),) for t in texts], "x double").repartition(5)
+    unit = Decimal(1).scaleb(-scale)
+    wanted = sum(Decimal(repr(float(t))).quantize(unit, "ROUND_HALF_UP") for t in texts)
+    assert df.agg(exact_sum(F.col("x"), scale)).first()[0] == wanted
+    cents = df.where("x = 0.01 OR x = 0.29")
+    assert cents.agg(exact_sum(F.col("x"), scale)).first()[0] == Decimal("0.3")
+
+
 def test_to_int_takes_plain_decimals_only(spark, ansi):
     assert values(spark, "string", ["12d", "1e3", " 7 ", "+5.", ".5", "0x1"], to_int) == [None, None, 7, 5, 0, None]
     assert values(spark, "double", [1e7, 2.5], to_int) == [10_000_000, 2]

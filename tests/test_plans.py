@@ -64,6 +64,24 @@ def test_top_per_group_is_cut_before_the_shuffle(spark, sf_dir):
     assert count(r"WindowGroupLimit .*Partial", plan) == 1
 
 
+def test_top_per_group_compares_doubles_first(spark, sf_dir):
+    """Decimals of 38 digits are slow to compare and decide only where the doubles are equal."""
+    plan = plan_of(reports.top_product_per_demographic(*catalog._tables(spark, sf_dir)))
+    assert re.search(r"Sort \[demographics#\S+ ASC NULLS FIRST, cast\(total_revenue#\S+ as double\) DESC|Sort \[demographics#\S+ ASC NULLS FIRST, _w\S+ DESC", plan)
+
+
+def test_top_per_group_keeps_the_exact_winner(spark):
+    """Totals that only differ beyond a double's digits, a tie, a group without a key and one without revenue."""
+    sales = spark.createDataFrame(
+        [(1, "a", 9e14), (1, "a", 0.25), (1, "b", 9e14), (1, "b", 0.250001), (2, "d", 5.0), (2, "c", 5.0), (3, "e", 1.0), (4, "f", None)],
+        "store_ID int, product_ID string, revenue double",
+    )
+    stores = spark.createDataFrame([(1, "x"), (2, "y"), (3, None), (4, "z")], "store_ID int, demographics string")
+    for limit in (64 << 20, -1):
+        got = reports.top_product_per_demographic(sales, stores, limit).collect()
+        assert {(r.demographics, r.product_ID) for r in got} == {("x", "b"), ("y", "c"), (None, "e"), ("z", "f")}
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES)))
 def test_no_python_in_the_plan(spark, sf_dir, name):
     df = catalog.QUERIES[name](spark, sf_dir)
