@@ -39,7 +39,7 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(texts(spark, sf_dir), keep_text=False).drop("text")
+    return remove_repeats(texts(spark, sf_dir), keep_text=False, run_words=51).drop("text")
 
 
 def op3_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

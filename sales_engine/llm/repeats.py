@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from sales_engine.llm.arrow import Arrays, append, byte_texts, flat, quoted
 from sales_engine.llm.phrases import REACH, context_bytes, phrases, range_hash
+from sales_engine.llm.runs import MARK_WORDS, once, word_runs
 from sales_engine.llm.tables import written
 
 CELL = 8
@@ -113,6 +114,36 @@ def _cell_rows(length: int):
     return make
 
 
+def _mark_rows(words: int):
+    """Each mark of a text once."""
+
+    def make():
+        def work(columns: Arrays) -> Iterator[Arrays]:
+            for text, mark, _ in word_runs(byte_texts(columns[1]), words):
+                text, mark = once(text, mark)
+                yield [columns[0].take(pa.array(text)), pa.array(mark)]
+
+        return work
+
+    return make
+
+
+def _run_rows(words: int):
+    """Each run of a text once, of those whose mark another row has."""
+
+    def make():
+        def work(columns: Arrays) -> Iterator[Arrays]:
+            keys, texts, lists = columns
+            for i, (text, marks) in enumerate(zip(byte_texts(texts), lists, strict=True)):
+                for _, mark, run in word_runs([text], words):
+                    run = np.unique(run[np.isin(mark, marks.values.to_numpy(zero_copy_only=False))])
+                    yield [keys.take(pa.array(np.full(len(run), i))), pa.array(run)]
+
+        return work
+
+    return make
+
+
 def _without(length: int, least_words: int):
     """Text without the bytes that repeated strings cover, and its figures. A place is a first and last start."""
 
@@ -204,6 +235,32 @@ def _found_in_classes(staged: DataFrame, length: int) -> DataFrame:
     return settled.unionAll(whole).unionAll(single)
 
 
+def _shared_marks(keyed: DataFrame, words: int) -> DataFrame:
+    """``k1, k2, marks``: the marks of a text that another row has too."""
+    rows = flat(
+        keyed,
+        [F.col("key"), F.col("text")],
+        "key struct<k1:bigint,k2:bigint>, mark bigint",
+        _mark_rows(words),
+    )
+    rows = written(rows.select("key.k1", "key.k2", "mark"), "marks")
+    twice = _repeated(rows, ["mark"], F.lit(1)).drop("uniform")
+    return rows.join(twice, "mark").groupBy("k1", "k2").agg(F.collect_set("mark").alias("marks"))
+
+
+def _shared_runs(staged: DataFrame, words: int) -> DataFrame:
+    """``k1, k2, n_shared_runs``: how many different runs of a text another row has too."""
+    rows = flat(
+        staged.where("marks is not null"),
+        [F.struct("k1", "k2"), F.col("text"), F.col("marks")],
+        "key struct<k1:bigint,k2:bigint>, run bigint",
+        _run_rows(words),
+    )
+    rows = written(rows.select("key.k1", "key.k2", "run"), "runs")
+    twice = _repeated(rows, ["run"], F.lit(1)).drop("uniform")
+    return rows.join(twice, "run").groupBy("k1", "k2").agg(F.count_distinct("run").alias("n_shared_runs"))
+
+
 def remove_repeats(
     docs: DataFrame,
     key: str = "doc_id",
@@ -211,6 +268,7 @@ def remove_repeats(
     length: int = 400,
     keep_text: bool = True,
     least_words: int = 0,
+    run_words: int = 0,
 ) -> DataFrame:
     """``docs`` without any byte that a string of ``length`` bytes covers which also starts elsewhere.
 
@@ -222,10 +280,14 @@ def remove_repeats(
     which saves room. A null text counts as empty and becomes empty. Rows may share a ``key`` or have none; equal
     rows repeat each other. An empty table gives an empty result. Columns of ``docs`` named like an added one are
     replaced. With ``least_words`` a maximal run of fewer words (parted by blanks; the ends of cut ones count) stays.
+    With ``run_words``, 21 or more, there is also ``n_shared_runs``: the different runs of so many words, however few bytes they
+    have, that another row has too. It removes nothing.
     """
+    if run_words and run_words <= MARK_WORDS:
+        raise ValueError(f"run_words must be more than {MARK_WORDS}")
     if length < REACH + 2 * CELL:
         raise ValueError(f"length must be at least {REACH + 2 * CELL}")
-    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_anchors"]
+    added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "n_anchors", *(["n_shared_runs"] if run_words else [])]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     others = [c for c in docs.columns if c != text]
     whole = F.coalesce(quoted(text).cast("string"), F.lit(""))
@@ -251,8 +313,12 @@ def remove_repeats(
             F.collect_set(F.when(~F.col("uniform"), F.col("place"))).alias("unsure"),
         )
     )
+    if run_words:
+        places = places.join(_shared_marks(keyed, run_words), ["k1", "k2"], "full_outer")
+    else:
+        places = places.withColumn("marks", F.lit(None).cast("array<bigint>"))
     marked = keyed.select("key.k1", "key.k2", "row", "text").join(places, ["k1", "k2"], "left")
-    clean = F.col("sure").isNull()
+    clean = F.col("sure").isNull() & F.col("marks").isNull()
     staged = written(
         marked.select(
             F.when(~clean, F.col("k1")).alias("k1"),
@@ -261,25 +327,32 @@ def remove_repeats(
             (F.col("text") if keep_text else F.when(~clean, F.col("text"))).alias("text"),
             "sure",
             "unsure",
+            "marks",
             F.octet_length("text").cast("bigint").alias("n_bytes"),
-            F.when(clean, 0).otherwise(F.size("sure") + F.size("unsure")).cast("bigint").alias("n_anchors"),
+            F.when(F.col("sure").isNull(), 0).otherwise(F.size("sure") + F.size("unsure")).cast("bigint").alias("n_anchors"),
             F.when(clean, F.sha2("text", 256)).alias("kept_sha256"),
         ),
         "marked",
     )
-    dirty = staged.where("sure is not null")
+    dirty = staged.where("k1 is not null")
     found = (
         _found_in_classes(dirty, length).groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     )
+    zero = F.lit(0).cast("bigint")
+    if run_words:
+        found = found.join(_shared_runs(staged, run_words), ["k1", "k2"], "full_outer")
+    else:
+        found = found.withColumn("n_shared_runs", zero)
     cut = append(
-        dirty.join(found, ["k1", "k2"], "left").select("row", "n_bytes", "n_anchors", "text", "sure", "found"),
+        dirty.join(found, ["k1", "k2"], "left").select(
+            "row", "n_bytes", "n_anchors", F.coalesce("n_shared_runs", zero).alias("n_shared_runs"), "text", "sure", "found"
+        ),
         ["text", "sure", "found"],
         "text string, n_removed bigint, n_spans bigint, kept_sha256 string",
         _without(length, least_words),
     )
-    zero = F.lit(0).cast("bigint")
-    untouched = staged.where("sure is null").select(
-        "row", "n_bytes", "n_anchors", "text", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"
+    untouched = staged.where("k1 is null").select(
+        "row", "n_bytes", "n_anchors", zero.alias("n_shared_runs"), "text", zero.alias("n_removed"), zero.alias("n_spans"), "kept_sha256"
     )
     result = cut.select(*untouched.columns).unionAll(untouched)
     return result.select(

@@ -96,6 +96,30 @@ def test_least_words(spark):
     assert all(got[i].text == rows[i][1] and got[i].n_removed == 0 for i in (2, 3))
 
 
+def test_shared_runs_of_words(spark):
+    """Every run of 51 words that another row has, at any place and of any length in bytes; a text's own repeats don't count."""
+    draw = random.Random(16)
+    words = lambda n, size=4: ["".join(draw.choice("abcdefghij") for _ in range(size)) for _ in range(n)]
+    texts = [words(120) for _ in range(30)]
+    for i, n in enumerate([50, 51, 52, 60, 80, 51, 130]):
+        passage = words(n, draw.choice([2, 4, 9]))
+        for at, text in ((0, texts[3 * i]), (120, texts[3 * i + 1]), (60, texts[3 * i + 2])):
+            text[at:at] = passage
+    texts += [p + p for p in [words(70)]] + [words(51), [], words(50), ["a"] * 200, ["a"] * 60]
+    texts += [texts[5], texts[5], words(70_000)]
+    texts[-1][69_000:69_000] = texts[9][:60]
+    blanks = ["\n", "  ", " \t"]
+    rows = [(i % 30, draw.choice(blanks).join(t)) for i, t in enumerate(texts)]
+    held = [{tuple(t[i : i + 51]) for i in range(len(t) - 50)} for t in texts]
+    times = Counter(run for runs in held for run in runs)
+    got = remove_repeats(frame(spark, rows), keep_text=False, run_words=51).drop("text")
+    assert got.columns[-2:] == ["n_anchors", "n_shared_runs"]
+    wanted = Counter((i % 30, len("".join(rows[i][1]).encode()), sum(times[r] > 1 for r in held[i])) for i in range(len(texts)))
+    assert Counter((r.doc_id, r.n_bytes, r.n_shared_runs) for r in got.collect()) == wanted
+    plain = remove_repeats(frame(spark, rows), keep_text=False).drop("text")
+    assert got.drop("n_shared_runs").exceptAll(plain).isEmpty() and plain.exceptAll(got.drop("n_shared_runs")).isEmpty()
+
+
 def test_repeats_edge_cases(spark):
     rows = frame(spark, EDGES).withColumn("N_Bytes", F.lit(5)).withColumn("k1", F.lit("k")).withColumn("row", F.lit(None).cast("int"))
     got = remove_repeats(rows)
